@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import exact_dedup, language_id, quality_rules
+from airgrid.llm import exact_dedup, language_id, ngram_join, packing, quality_rules, toxicity
 from airgrid.llm.common import held_out, table
 
 
@@ -26,6 +27,21 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(held_out("doc_id"), F.lit(False))
+    model = toxicity.learn(docs.where(~out).select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs.select("doc_id", "text", out.alias("held_out")), model, keep=("doc_id", "held_out"))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
@@ -57,4 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
+    "op7_ngram_join": op7_ngram_join,
 }
