@@ -1,6 +1,6 @@
 """Language identification by compression: a text has the language whose dictionary makes it smallest.
 
-For each language a raw-content Zstandard dictionary is filled with whole labelled texts. A text is compressed
+Letters are lower-cased. For each language a raw-content Zstandard dictionary is filled with whole labelled texts. A text is compressed
 once with each dictionary; the smallest result names the language, and the gap to the second smallest is the
 margin. A narrow margin sets `rejected`, beside the best guess, so that a caller can drop or route such rows.
 
@@ -43,7 +43,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     found = rows.select(lang, F.xxhash64(F.lit(1), F.col(key)).alias("h"), text).orderBy(lang, "h", text).collect()
     out = {}
     for name, group in itertools.groupby(found, key=lambda r: r[lang]):
-        data = "\n".join(r[text] for r in group).encode()
+        data = "\n".join(r[text].lower() for r in group).encode("utf-8", "replace")
         slices = [data[i : i + 512] for i in range(0, len(data), 512)]
         step = max(1, len(data) // size)
         out[name] = b"".join(slices[::step])[:size]
@@ -60,7 +60,7 @@ class Identifier:
             self.compressors.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False))
 
     def sizes(self, text: str) -> list[int]:
-        data = text.encode("utf-8", "replace")
+        data = text.lower().encode("utf-8", "replace")
         parts = [data[i : i + SLICE_BYTES] for i in range(0, len(data), SLICE_BYTES)]
         return [sum(len(c.compress(p)) for p in parts) for c in self.compressors]
 

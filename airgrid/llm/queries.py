@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import exact_dedup, language_id, ngram_join, packing, quality_rules, toxicity
+from airgrid.llm import exact_dedup, html_extraction, language_id, license_scan, mixing, ngram_join, packing, quality_rules, toxicity, warc
 from airgrid.llm.common import held_out, table
 
 
@@ -22,6 +22,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: a document is a file named by its id, in the directory of its language in that of its source."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs.withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -42,6 +48,19 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
@@ -72,8 +91,24 @@ SQL: dict[str, str] = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_join": op7_ngram_join,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_mixing": op9_mixing,
+    "op10_warc": op10_warc,
 }
+SQL["op10_warc"] = r"""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages),
+    h AS (SELECT *, sha1(b) AS hex FROM p),
+    bits AS (SELECT page_id, string_agg(lpad(to_binary(CAST(strpos('0123456789abcdef', hex[i]) - 1 AS BIGINT)), 4, '0'), '' ORDER BY i) AS s
+             FROM (SELECT page_id, hex, unnest(range(1, 41)) AS i FROM h) GROUP BY page_id),
+    d AS (SELECT page_id, string_agg('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+                 1 + 16 * CAST(s[5 * k + 1] AS INT) + 8 * CAST(s[5 * k + 2] AS INT) + 4 * CAST(s[5 * k + 3] AS INT) + 2 * CAST(s[5 * k + 4] AS INT) + CAST(s[5 * k + 5] AS INT)], '' ORDER BY k) AS digest
+          FROM (SELECT page_id, s, unnest(range(0, 32)) AS k FROM bits) GROUP BY page_id)
+    SELECT h.page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN h.page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN h.page_id = last THEN NULL ELSE last END AS refers_to
+    FROM h JOIN d USING (page_id)"""
