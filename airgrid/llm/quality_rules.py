@@ -42,15 +42,15 @@ def signals(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumn("__p", F.filter("__s", lambda x, j: same(x, j - 1) | same(x, j + 1))).withColumn("__p", F.transform("__p", lambda x: x["i"]))
     covered = F.array_distinct(F.concat(F.col("__p"), F.transform("__p", lambda i: i + 1), F.transform("__p", lambda i: i + 2)))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return df.withColumns(
-        {
-            "n_words": n.cast("long"),
-            "word_chars": F.length("__bare").cast("long"),
-            "n_symbols": (F.length("__bare") - F.length(F.translate("__bare", SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": count(F.size("__l") - F.size(F.array_distinct("__l"))),
-            "n_repeat_words": F.when(F.col("__p").isNull(), F.lit(0)).otherwise(F.size(covered)).cast("long"),
-        }
-    ).drop("__t", "__w", "__bare", "__l", "__h", "__s", "__p")
+    found = {
+        "n_words": n.cast("long"),
+        "word_chars": F.length("__bare").cast("long"),
+        "n_symbols": (F.length("__bare") - F.length(F.translate("__bare", SYMBOLS, ""))).cast("long"),
+        "n_dup_lines": count(F.size("__l") - F.size(F.array_distinct("__l"))),
+        "n_repeat_words": F.when(F.col("__p").isNull(), F.lit(0)).otherwise(F.size(covered)).cast("long"),
+    }
+    # The generator keeps filters on these columns above it: pushed down, they would repeat all of this for each use.
+    return df.select(*(F.col(c) for c in docs.columns), F.inline(F.array(F.struct(*(v.alias(k) for k, v in found.items())))))
 
 
 def base_failed() -> Column:
