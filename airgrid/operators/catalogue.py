@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airgrid.functions.text import trim_blanks
 from airgrid.functions.times import add_duration, expand_date_range, normalize_time
 from airgrid.functions.titles import extract_identifier, resolve_title, strip_title_brackets
+from airgrid.operators.stages import staged
 
 #: Rows of a request at most: a day that has as many may be cut off.
 ROW_CAP = 500
@@ -18,10 +19,10 @@ def keep_programme_rows(rows: DataFrame) -> DataFrame:
     cell = lambda i: trim_blanks(F.coalesce(F.get(F.col("cells"), i), F.lit("")))
     n = F.size("cells")
     df = rows.where(n >= 6).where(~((cell(5) == "Statut de diffusion") | cell(6).contains("Première diffusion")))
-    df = df.withColumn("t", resolve_title(cell(5), cell(6), F.when(n >= 8, cell(7)).otherwise(F.lit(""))))
+    df = staged(df, t=resolve_title(cell(5), cell(6), F.when(n >= 8, cell(7)).otherwise(F.lit(""))))
     df = df.where(F.col("t.title") != "").where(~F.lower("t.title").contains("interprogrammes"))
-    df = df.withColumn("start_time", normalize_time(cell(3))).where(F.col("start_time").isNotNull())
-    df = df.withColumn("end_time", add_duration(F.col("start_time"), normalize_time(cell(4)))).withColumn("b", strip_title_brackets(F.col("t.title"), F.col("t.subtitle")))
+    df = staged(df, start_time=normalize_time(cell(3)), duration=normalize_time(cell(4))).where(F.col("start_time").isNotNull())
+    df = staged(df, end_time=add_duration(F.col("start_time"), F.col("duration")), b=strip_title_brackets(F.col("t.title"), F.col("t.subtitle")))
     blank = F.lit("")
     return df.select(
         *[c for c in rows.columns if c not in ("cells", "href")],
@@ -30,7 +31,7 @@ def keep_programme_rows(rows: DataFrame) -> DataFrame:
         F.col("b.title").alias("title"),
         F.coalesce("b.subtitle", blank).alias("subtitle"),
         blank.alias("episode"),
-        F.when(n >= 9, cell(8)).otherwise(blank).alias("genre") if "cells" in rows.columns else blank.alias("genre"),
+        F.when(n >= 9, cell(8)).otherwise(blank).alias("genre"),
         F.coalesce(extract_identifier(F.col("href")), blank).alias("identifier"),
         blank.alias("synopsis"),
     )
@@ -60,8 +61,8 @@ def expand_days(jobs: DataFrame, param: str = "param") -> DataFrame:
 
 def expand_jobs(channels: DataFrame) -> DataFrame:
     """channels (source_code, channel_url, first_year, last_year): a row for each source, channel and day."""
-    years = F.sequence(F.col("first_year"), F.col("last_year"))
-    return expand_days(channels.select("source_code", "channel_url", F.explode(years).cast("string").alias("param"))).drop("param")
+    years = F.sequence(F.col("first_year"), F.col("last_year")).cast("array<string>")
+    return expand_days(channels.select("source_code", "channel_url", F.explode(years).alias("param"))).drop("param")
 
 
 def resolve_channel_source(jobs: DataFrame, channel: DataFrame, channel_source: DataFrame) -> tuple[DataFrame, DataFrame]:
