@@ -109,14 +109,17 @@ def features(spans: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def kernel(spans: list[str], landmarks: list[str]) -> np.ndarray:
-    """A row for each span, a column for each landmark."""
-    dense = np.zeros((len(landmarks), CODES), dtype=np.float32)
-    for i, (u, v) in enumerate(features(landmarks)):
-        dense[i, u] = v
-    dense = np.ascontiguousarray(dense.T)
+    """A row for each span, a column for each landmark. Only subsequences of landmarks have a row in memory."""
+    marks = features(landmarks)
+    codes = np.unique(np.concatenate([u for u, _ in marks]))
+    dense = np.zeros((len(codes) + 1, len(landmarks)), dtype=np.float32)  # the last row stands for all other codes
+    for i, (u, v) in enumerate(marks):
+        dense[np.searchsorted(codes, u), i] = v
     out = np.zeros((len(spans), len(landmarks)), dtype=np.float64)
-    for i, (u, v) in enumerate(features(spans)):
-        out[i] = v @ dense[u]
+    for k in range(0, len(spans), 1000):
+        for i, (u, v) in enumerate(features(spans[k : k + 1000]), k):
+            at = np.minimum(np.searchsorted(codes, u), len(codes) - 1)
+            out[i] = v @ dense[np.where(codes[at] == u, at, len(codes))]
     return out
 
 
