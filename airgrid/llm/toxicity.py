@@ -2,7 +2,7 @@
 
 The kernel of two spans is the cosine of their gap-weighted counts of common subsequences of 3 and 4 characters,
 each DECAY to the power of the length it stretches over, so characters that are left out or put in between weaken
-a match and don't break it. A span is a token between blanks, folded to 32 symbols with marks for its two ends;
+a match and don't break it. A span is a token between blanks, folded to BASE symbols with marks for its two ends;
 long tokens give overlapping windows, and characters set apart by blanks are joined to a span of their own.
 
 Training (on the driver, on a bounded sample of labelled documents): a sentence has its document's label, and a
@@ -13,7 +13,7 @@ The machine and the landmarks fold into one weight for each subsequence, so scor
 
 A text has the score of its most toxic span, as a probability fitted on the labels.
 Edge cases: a null or empty text, or one without a span, has the score of the most harmless span; texts and tokens
-of any length are scored whole; repeated rows get equal scores; without labels of both classes every score is 0;
+of any length are scored whole; repeated rows get equal scores; without labels of both classes, or evidence in them, every score is 0;
 an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -40,12 +40,20 @@ DECAY, SIZES, GAPS = 0.6, (3, 4), (3, 2)
 THRESHOLD = 0.3
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 SPACED = re.compile(r"(?<!\S)\w(?:[ ._*\-]\w){2,}(?!\S)")
-CODES = 1 << 20
+#: Spans that fewer toxic texts hold are no evidence; labels have errors.
+SUPPORT = 3
+#: Log likelihood ratio that a span needs, against chance among very many spans.
+EVIDENCE = 9.0
+ACCENTED = "éèêäöüßçñíóá"
+BASE = 32 + len(ACCENTED)
+CODES = BASE**4
 
 
 @functools.lru_cache(maxsize=200_000)
 def symbol(c: str) -> int:
-    """1-26 letters without accents, 27 and 28 the two ends, 29 other letters, 30 digits, 31 the rest."""
+    """1-26 letters, 27 and 28 the two ends, 29 other letters, 30 digits, 31 the rest, then ACCENTED; other accents are left off."""
+    if c in ACCENTED:
+        return 32 + ACCENTED.index(c)
     base = unicodedata.normalize("NFD", c.lower())[:1]
     if "a" <= base <= "z":
         return ord(base) - 96
@@ -78,7 +86,7 @@ def coded(spans: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
             for size, (at, w) in zip(SIZES, places(n + 2), strict=True):
                 code = np.zeros((len(part), len(at)), dtype=np.int32)
                 for j in range(size):
-                    code = code * 32 + sym[:, at[:, j]]
+                    code = code * BASE + sym[:, at[:, j]]
                 codes.append(code)
                 weights.append(w)
             yield np.array(part), np.concatenate(codes, axis=1), np.concatenate(weights)
@@ -194,18 +202,32 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(texts: list[str], toxic: list[int], rounds: int = 3, landmarks: int = LANDMARKS) -> Model | None:
-    """None unless there are texts of both classes."""
-    lower = [t.lower() for t in texts]
+    """None unless there are texts of both classes and spans that tell them apart."""
+    once = dict(zip((t.lower() for t in texts), toxic, strict=True))  # copies count once
+    lower, toxic = list(once), list(once.values())
     docs = [spans_of(t) for t in lower]
     sentences = [[spans_of(s) for s in SENTENCE.split(t)] for t in lower]
     bad, good = [i for i, y in enumerate(toxic) if y == 1 and docs[i]], [i for i, y in enumerate(toxic) if y != 1 and docs[i]]
     if not bad or not good:
         return None
     in_bad, in_good = Counter(s for i in bad for s in docs[i]), Counter(s for i in good for s in docs[i])
-    odds = {s: np.log((in_bad[s] + 0.1) / (len(bad) + 1)) - np.log((in_good[s] + 0.5) / (len(good) + 1)) + 0.01 * np.log1p(in_bad[s]) for s in in_bad}
+    support = min(SUPPORT, 1 + len(bad) // 20)
+    before: dict[str, set] = {}  # what stands before a span: near copies of a text repeat that too
+    for i in bad:
+        tokens = lower[i].split()
+        for left, s in zip(["", *tokens], tokens, strict=False):
+            before.setdefault(s, set()).add(left)
+        for s in docs[i].difference(tokens):
+            before.setdefault(s, set()).add(i)
+    odds = {s: np.log((n + 0.1) / (len(bad) + 1)) - np.log((in_good[s] + 0.5) / (len(good) + 1)) + 0.01 * np.log1p(n) for s, n in in_bad.items() if n >= support and len(before[s]) >= support}
+    p = len(bad) / (len(bad) + len(good))
+    gain = lambda n, g: n * np.log(n / (n + g) / p) + (g * np.log(g / (n + g) / (1 - p)) if g else 0)
+    odds = {s: o for s, o in odds.items() if o > np.log(2) and gain(in_bad[s], in_good[s]) > EVIDENCE}
+    if not odds:
+        return None
     clean = sorted(in_good, key=lambda s: (-in_good[s], s))
     rng = np.random.default_rng(6)
-    witness = Counter(max(docs[i], key=lambda s: (odds[s], s)) for i in bad)
+    witness = Counter(max(own, key=lambda s: (odds[s], s)) for i in bad if (own := docs[i] & odds.keys()))
     negatives = set(clean[:500]) | {clean[i] for i in rng.integers(0, len(clean), 3000)}
     model = None
     for turn in range(rounds):
@@ -235,11 +257,12 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 3, landmarks: int = LA
         known = dict(zip(spans, model.raw(spans).tolist(), strict=True))
         if turn + 1 < rounds:
             # Each toxic text is seen through the sentence that scores highest; clean texts add what comes near.
-            suspicion = {z: known[z] + 0.3 * odds[z] for z in in_bad}
+            suspicion = {z: known[z] + 0.3 * o for z, o in odds.items()}
             witness = Counter()
             for i in bad:
                 best = max(((suspicion[z], z) for s in sentences[i] for z in s if z in suspicion), default=None)
-                witness[best[1] if best else max(docs[i])] += 1
+                if best:
+                    witness[best[1]] += 1
             hard = sorted(in_good, key=lambda s: (-known[s], s))[:3000]
             negatives = set(hard) | negatives
     of_text = np.array([max((known[s] for s in d), default=model.bias - 1) for d in docs])
