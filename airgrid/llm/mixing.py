@@ -9,7 +9,7 @@
 
 The driver sees a row for each source and shard, at most MAX_SHARDS plus the number of sources, never one for each document.
 
-Edge cases: a null or empty text has size 0 and nothing is taken from it; a null source is a source of its own;
+Edge cases: a null or empty text has size 0, nothing is taken from it, and it has no row in the mix; a null source is a source of its own;
 ties of the hash go by id; repeated rows are documents like others; an empty table gives an empty result.
 """
 
@@ -53,7 +53,7 @@ def sainte_lague(seats: int, votes: np.ndarray, most: np.ndarray) -> np.ndarray:
 
     def above(q: float) -> np.ndarray:
         """How many quotients of each party are q or more."""
-        return np.minimum(most, np.floor((votes / q + 1) / 2 + 1e-12).astype(np.int64)) * (votes > 0)
+        return np.minimum(most, np.floor((votes / q + 1) / 2).astype(np.int64)) * (votes > 0)
 
     low, high = votes[votes > 0].min() / (2 * most.max() + 1) / 2, votes.max() * 2
     for _ in range(200):  # bisection for the quotient that ends the list
@@ -61,12 +61,9 @@ def sainte_lague(seats: int, votes: np.ndarray, most: np.ndarray) -> np.ndarray:
         if middle in (low, high):
             break
         low, high = (middle, high) if above(middle).sum() >= seats else (low, middle)
-    got = above(high)
-    tied = np.flatnonzero(above(low) > got)
-    for i in tied[: seats - int(got.sum())] if int(got.sum()) < seats else []:
-        got[i] += 1
-    while got.sum() < seats:  # equal quotients of one party
-        quotient = np.where(got < most, votes / (2 * got + 1), -1)
+    got = above(high * (1 + 1e-9))  # what is surely above the end of the list; the last few seats, ties among them, go one by one
+    while got.sum() < seats:
+        quotient = np.where((got < most) & (votes > 0), votes / (2 * got + 1), -1)
         got[int(quotient.argmax())] += 1
     return got
 
@@ -124,6 +121,7 @@ def rows_taken(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     chosen = mix(docs, key, text, source).groupBy(key).agg(F.max("laps").alias("__laps"), F.max("part").alias("__part"), F.max("size").alias("__size"))
     joined = docs.join(chosen.withColumnRenamed(key, "__id"), F.col(key).eqNullSafe(F.col("__id")))
     part = F.when(F.col("__part") == F.col("__size"), F.col(text)).otherwise(F.concat_ws(" ", F.slice(words_of(F.col(text)), F.lit(1), F.col("__part").cast("int"))))
+    joined = joined.where("__size > 0")
     copies = F.concat(F.array_repeat(F.lit(False), F.col("__laps")), F.when(F.col("__part") > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
     out = joined.withColumn("__cut", F.explode(copies)).withColumn(text, F.when(F.col("__cut"), part).otherwise(F.col(text)))
     if "n_chars" in columns:
