@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airgrid.shipping import ship
+
 #: Fixed value: the white space of all contracts, as the characters of [\x20\x09-\x0D].
 WS_CHARS = " \t\n\x0b\f\r"
 WS_CLASS = r"[\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

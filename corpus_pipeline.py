@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-
 from airgrid.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
 from airgrid.llm.common import shared_dir
+from airgrid.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,6 +26,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: the one with the smallest id."""
+    ship(spark)
     dropped = ngram_join.join(docs).where("doc_id <> class_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
 
@@ -37,6 +38,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
+    ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
