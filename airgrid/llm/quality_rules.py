@@ -64,7 +64,7 @@ def count_of(text: Column, pattern: str) -> Column:
 #: name -> reject?, of signals and the text. All are ratios, in whole numbers, so that any engine agrees on them.
 RULES: dict[str, Callable[[Column], Column]] = {
     "many_symbols": lambda text: 10 * F.col("n_symbols") > F.col("n_words"),
-    "many_dup_lines": lambda text: 100 * F.col("n_dup_lines") > 30 * (1 + F.length(text) - F.length(F.translate(text, "\n", ""))),
+    "many_dup_lines": lambda text: (F.col("n_dup_lines") > 2) & (100 * F.col("n_dup_lines") > 30 * (1 + F.length(text) - F.length(F.translate(text, "\n", "")))),
     "odd_word_length": lambda text: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 16 * F.col("n_words")),
     "many_bangs": lambda text: 10 * (F.length(text) - F.length(F.translate(text, "!?", ""))) > F.col("n_words"),
     "many_capitals": lambda text: 2 * count_of(text, "[A-Z]") > F.col("word_chars"),

@@ -79,7 +79,7 @@ SQL: dict[str, str] = {
               FROM d LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
         b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * (1 + length(t) - length(replace(t, chr(10), '')))
+               NOT (base_failed OR 10 * n_symbols > n_words OR (n_dup_lines > 2 AND 100 * n_dup_lines > 30 * (1 + length(t) - length(replace(t, chr(10), ''))))
                     OR word_chars < 2 * n_words OR word_chars > 16 * n_words
                     OR 10 * (length(t) - length(regexp_replace(t, '[!?]', '', 'g'))) > n_words
                     OR 2 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > word_chars
