@@ -2,7 +2,7 @@
 
 Each document becomes ids and an end id. Whole windows are cut off first; what is left over is cut into pieces of
 at most PIECE ids, which a task gathers, in the order it reads them, into blocks that fill WINDOWS sequences but
-for SLACK ids each. Differencing merges the partial partitions with the largest spreads, the large sums of one on
+for SLACK ids each; the end of a block is cut finely. Differencing merges the partial partitions with the largest spreads, the large sums of one on
 the small sums of the other, until one partition of near-equal windows is left. If a window is over capacity, the
 block is dealt again into one window more. A task holds one block; nothing is shuffled.
 
@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY, PIECE, WINDOWS, SLACK, END_ID = 2048, 512, 64, 8, 1
+#: Pieces of the last fiftieth of a block: small sums that level what the large ones leave.
+FINE = 16
 #: Tokens whose ids a worker remembers at most.
 REMEMBERED = 800_000
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -138,6 +140,7 @@ def packed(docs: Iterator[tuple[object, bytes]], first: int, capacity: int = CAP
     sequence = first
     block: list[tuple] = []
     held, full = 0, per_block * (capacity - slack)
+    fine = full // 50
 
     def deal() -> Iterator[tuple]:
         nonlocal sequence, block, held
@@ -159,7 +162,7 @@ def packed(docs: Iterator[tuple[object, bytes]], first: int, capacity: int = CAP
             sequence += 1
         at = total - total % capacity
         while at < total:
-            n = min(piece, total - at, full - held)
+            n = min(piece if held < full - fine else FINE, total - at, full - held)
             block.append((key, at, ids[4 * at : 4 * (at + n)], total))
             at += n
             held += n
