@@ -15,7 +15,7 @@ import itertools
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,14 +81,12 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # a bounded number of bytes for each language
     kept = docs.select(*keep, F.col(text).alias("__text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Identifier(shared.value)
         for b in batches:
-            got = [model.identify(t) for t in b["__text"]]
-            out = b.drop(columns="__text")
-            for i, c in enumerate(("lang_pred", "score", "rejected")):
-                out[c] = pd.Series([g[i] for g in got], index=out.index, dtype=("object", "float64", "bool")[i])
-            yield out
+            got = [model.identify(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            new = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *new], names=[*b.schema.names[:-1], "lang_pred", "score", "rejected"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInPandas(run, f"{schema}, {SCHEMA}")
+    return kept.mapInArrow(run, f"{schema}, {SCHEMA}")

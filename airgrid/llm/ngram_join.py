@@ -26,6 +26,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,16 +96,16 @@ def sketches(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """(id, digest of the words, band keys; null without words) of each row."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             digests, keys = [], []
-            for t in b["t"]:
+            for t in b.column(1).to_pylist():
                 words = words_of(t)
                 digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                 keys.append(band_keys(minhash(hashes(words, n))) if words else None)
-            yield pd.DataFrame({"id": b["id"].astype("Int64"), "digest": digests, "bands": keys})
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "bands"])
 
-    return rows.mapInPandas(run, "id long, digest binary, bands array<long>")
+    return rows.mapInArrow(run, "id long, digest binary, bands array<long>")
 
 
 def linked(texts: list[list[bytes]], left: np.ndarray, right: np.ndarray, n: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -21,7 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,30 +175,31 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     """key, SCHEMA and on request the ids of each piece (binary, little-endian 32-bit)."""
     rows = docs.select(F.col(key), F.col(text).alias("__text"))
     kind = rows.schema.fields[0].dataType.simpleString()
-    names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+    names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(tokenizer_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
+        key_type = None
 
         def documents() -> Iterator[tuple[object, bytes]]:
+            nonlocal key_type
             for b in batches:
-                keys, texts = b[b.columns[0]].astype(object).where(b[b.columns[0]].notna(), None).tolist(), b["__text"].tolist()
-                for k, t in zip(keys, texts, strict=True):
+                key_type = b.schema.field(0).type
+                for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     yield k, tokenizer.encode(t) + end
 
+        def batch(gathered: list[tuple]) -> pa.RecordBatch:
+            kinds = [key_type, *[pa.int64()] * 6, *[pa.binary()] * with_ids]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*gathered, strict=True), kinds, strict=True)], names=names)
+
         gathered: list[tuple] = []
         for row in packed(documents(), TaskContext.get().partitionId() << 32):
             gathered.append(row if with_ids else row[:7])
             if len(gathered) >= (1_000 if with_ids else 20_000):
-                yield frame(gathered)
+                yield batch(gathered)
                 gathered = []
-        yield frame(gathered)
-
-    def frame(gathered: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(gathered, columns=names if with_ids else names[:7])
-        if kind in ("bigint", "int"):
-            out["key"] = out["key"].astype("Int64")
-        return out.rename(columns={"key": key})
+        if gathered:
+            yield batch(gathered)
 
-    return rows.mapInPandas(run, f"`{key}` {kind}, {SCHEMA}" + ", ids binary" * with_ids)
+    return rows.mapInArrow(run, f"`{key}` {kind}, {SCHEMA}" + ", ids binary" * with_ids)

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -285,7 +285,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[
     small = None if model is None else (np.flatnonzero(model.table), model.table[np.flatnonzero(model.table)], model.bias, model.slope, model.shift)
     shared = docs.sparkSession.sparkContext.broadcast(small)  # at most a weight for each subsequence of the landmarks
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
         if shared.value is not None:
             at, values, *rest = shared.value
@@ -293,12 +293,11 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[
             table[at] = values
             own = Model(table, *rest)
         for b in batches:
-            texts = b["__text"].tolist()
+            texts = b.column(b.num_columns - 1).to_pylist()
             got = [own.scores(texts[i : i + 1000]) if own else np.zeros(len(texts[i : i + 1000])) for i in range(0, len(texts), 1000)]
-            out = b.drop(columns="__text")
-            out["score"] = np.concatenate(got) if got else np.zeros(0)
-            out["predicted"] = (out["score"] >= THRESHOLD).astype("int32")
-            yield out
+            scores = np.concatenate(got) if got else np.zeros(0)
+            new = [pa.array(scores), pa.array((scores >= THRESHOLD).astype("int32"))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *new], names=[*b.schema.names[:-1], "score", "predicted"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInPandas(run, f"{schema}, score double, predicted int")
+    return kept.mapInArrow(run, f"{schema}, score double, predicted int")

@@ -267,6 +267,14 @@ def test_toxicity(spark):
     assert toxicity.fit(["a"], [0]) is None
 
 
+def test_ids_pass_unchanged(spark):
+    big = [2**60 + 1, None, 7]
+    df = spark.createDataFrame([(i, f"some text {k}") for k, i in enumerate(big)], "doc_id long, text string").coalesce(1)
+    model = toxicity.Model(np.zeros(toxicity.CODES, dtype=np.float32), -1.0, 1.0, 0.0)
+    for out in (language_id.predict(df, {"en": b"some text"}), toxicity.score(df, model), packing.pack(df, TOKENIZER), ngram_join.join(df), exact_dedup.deduplicate(df)):
+        assert {r["doc_id"] for r in out.collect()} == set(big)
+
+
 # 7
 
 
