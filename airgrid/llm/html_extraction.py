@@ -2,9 +2,9 @@
 
 1. A page is read as a stream of tags. Its containers (elements that hold blocks of text) are scored: prose counts
    for them, text that is mostly links counts against them. The deepest container that has nearly the best score is
-   the page's own choice. It votes, with its score, for its generalised path: the tags and classes from the root,
+   the page's own choice. It votes for its generalised path: the tags and classes from the root,
    digits and hash-like classes left out.
-2. Spark sums the votes for each host and path; the paths that get SHARE of their host's pages win.
+2. Spark counts the votes for each host and path; the paths that get SHARE of their host's pages win.
 3. Pages are read again: the text is that of the containers on a winning path (the path that scores best here if
    there are several); a page that has none of them keeps its own choice.
 
@@ -27,8 +27,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airgrid.llm.common import cut
+
 #: Share of a host's pages that a path needs; share of the best score that a deeper container needs; text of which this share is links isn't prose.
 SHARE, NEARLY, LINKS = 0.1, 0.7, 0.5
+#: Share of all pages from which a host is hot.
+HOT = 0.001
 
 #: HTML's elements without content, elements whose content isn't markup, elements that end a block of
 #: text, elements whose start ends an open paragraph, and elements that never hold an article's text.
@@ -252,7 +256,7 @@ def host_of(url: Column) -> Column:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, score): a row for each page that has a choice."""
+    """(host, path, score): a row for each page, of nulls where it has no choice."""
     rows = pages.select(host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,25 +265,33 @@ def votes(pages: DataFrame) -> DataFrame:
             for host, source in zip(b["host"], b["html"], strict=True):
                 page = parse(source)
                 i, score = choice(page)
-                if i >= 0:
-                    out.append((host, page.paths[i], score))
+                out.append((host, page.paths[i] if i >= 0 else None, score))
             yield pd.DataFrame(out, columns=["host", "path", "score"])
 
     return rows.mapInPandas(run, SCHEMA_VOTE)
 
 
 def consensus(cast: DataFrame, share: float = SHARE) -> DataFrame:
-    """(host, winners array<string>): at most 1 / share paths for each host."""
-    by_path = cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("s"))
-    total = by_path.groupBy("host").agg(F.sum("n").alias("all"))
-    won = by_path.join(total, "host").where(F.col("n") >= share * F.col("all"))
-    return won.groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("winners"))
+    """(host, n, winners array<string>): pages of each host, and at most 1 / share paths."""
+    by_path = cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.count("path").alias("m"))
+    total = by_path.groupBy("host").agg(F.sum("n").alias("n"), F.sum("m").alias("voted"))
+    won = by_path.select("host", "path", "m").join(total, "host").withColumn("won", F.when((F.col("m") > 0) & (F.col("m") >= share * F.col("voted")), F.col("path")))
+    return won.groupBy("host").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("won")).alias("winners"))
 
 
 def extract_pages(pages: DataFrame, share: float = SHARE) -> DataFrame:
-    """(page_id, url, text, n_chars) of each page."""
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
-    ready = rows.join(consensus(votes(pages), share), "host", "left").select(F.col("page_id").cast("long").cast("string").alias("page_id"), "url", "html", "winners")
+    """(page_id, url, text, n_chars) of each page.
+
+    Hosts with HOT of all pages, so 1 / HOT of them at most, are looked up in a broadcast table; only pages of the
+    others, none of which is hot, are dealt by host.
+    """
+    rows = pages.select(F.col("page_id").cast("long").cast("string").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
+    hosts = cut(consensus(votes(pages), share))
+    every = hosts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(hosts.where(F.col("n") >= HOT * every).select("host", "winners"))
+    cold = hosts.where(F.col("n") < HOT * every).select("host", "winners")
+    names = ["page_id", "url", "html", "winners"]
+    ready = rows.join(hot, "host").select(names).unionByName(rows.join(hot, "host", "left_anti").join(cold, "host", "left").select(names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
