@@ -47,12 +47,12 @@ def test_periods(spark, tmp_path):
 
 def test_sinks(spark, tmp_path):
     day = datetime.date(2001, 1, 2)
-    p = spark.createDataFrame([("ina", "tf1", "TF1", day, "10:00:00", "", "a|b", 'say "x"', "", "", "", "")], "source_code string, channel_url string, channel string, air_date date, start_time string, end_time string, title string, subtitle string, episode string, genre string, identifier string, synopsis string")
+    p = spark.createDataFrame([("src", "une", "Une", day, "10:00:00", "", "a|b", 'say "x"', "", "", "", "")], "source_code string, channel_url string, channel string, air_date date, start_time string, end_time string, title string, subtitle string, episode string, genre string, identifier string, synopsis string")
     base = str(tmp_path / "p")
     for _ in range(2):
         sinks.write_programmes(p, base)
     back = spark.read.csv(base, sep="|", header=True, escape='"').collect()
-    assert len(back) == 1 and (back[0]["Titre"], back[0]["Sous-titre"], back[0]["Date"], back[0]["source_code"]) == ("a|b", 'say "x"', "02/01/2001", "INA")
+    assert len(back) == 1 and (back[0]["Titre"], back[0]["Sous-titre"], back[0]["Date"], back[0]["source_code"]) == ("a|b", 'say "x"', "02/01/2001", "SRC")
     rows = spark.createDataFrame([(day, None, "Canal+ Bleu", 0, "06:35", "T;1", "", "Film", "10% x"), (day, None, "Canal+ Bleu", 1, "07:35", "U", "s", "", "")], "page_date date, slug string, channel string, entry_pos int, start_time string, title string, subtitle string, genre string, unparsed_tail string")
     sinks.write_listings(rows, str(tmp_path / "l"))
     back = spark.read.csv(str(tmp_path / "l"), sep=";", header=True, escape='"').orderBy("Heure").collect()
