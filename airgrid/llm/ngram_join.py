@@ -168,15 +168,15 @@ def shared(grams, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total[at].astype(np.int64)
 
 
-def cell_links(ids: list[int], blocks: list[int], texts: list[str], n: int, threshold: float) -> Iterator[tuple[int, int, int]]:
+def cell_links(ids: list[int], blocks: list[int], texts: list[str], across: bool, n: int, threshold: float) -> Iterator[tuple[int, int, int]]:
     """(id, smallest id that it hangs together with here, links here) of the nodes of a cell.
 
-    The pairs are those within the cell's block, or those across its two blocks.
+    The pairs are those within the cell's block, or those across its two blocks (none if one of them is empty).
     """
     words = [words_of(t) for t in texts]
     block = np.array(blocks)
-    if (block != block[0]).any():
-        left, right = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())))
+    if across:
+        left, right = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == block.min()), np.flatnonzero(block > block.min())))
     else:
         left, right = np.triu_indices(len(ids), 1)
     root = list(range(len(ids)))
@@ -228,9 +228,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, t
                 yield from b.itertuples(index=False, name=None)
 
         out: list[tuple] = []
-        for (component, _, _, k), group in itertools.groupby(rows(), key=lambda r: r[:4]):
+        for (component, i, j, k), group in itertools.groupby(rows(), key=lambda r: r[:4]):
             own = list(group)
-            out += [(component, k, *x) for x in cell_links([r[4] for r in own], [r[5] for r in own], [r[6] for r in own], n, threshold)]
+            out += [(component, k, *x) for x in cell_links([r[4] for r in own], [r[5] for r in own], [r[6] for r in own], i != j, n, threshold)]
             if len(out) > 10_000:
                 yield pd.DataFrame(out, columns=["component", "k", "id", "root", "links"])
                 out = []

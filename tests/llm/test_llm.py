@@ -299,7 +299,7 @@ def brute_join(texts):
     return {i: (label[i], n[i], max(1, sum(words[i] == w for w in words)) if words[i] else 1) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("block", [7, 256])
+@pytest.mark.parametrize("block", [2, 7, 256])
 def test_ngram_join(spark, block):
     r = random.Random(8)
     texts = list(ODD)
