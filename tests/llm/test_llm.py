@@ -134,6 +134,23 @@ def test_license_scores(spark):
         assert row["own_score"] == pytest.approx(best if best >= license_scan.THRESHOLD else 0, abs=1e-6)
 
 
+def test_license_texts_and_headers(spark):
+    """Full texts are licence files; notices over several lines, or at the end of a long one, count."""
+    full = license_scan.with_full_texts()
+    mit = "Copyright (c) 2020 Someone\n\n" + full["MIT"][-1]
+    lgpl = "/*\n * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.\n */\n"
+    gpl = " ".join(prose(5, 30).split()) + " This work is licensed under the GNU General Public License, version 3."
+    texts = {"a/LICENSE": mit, "a/x.py": "code", "b/COPYING": full["BSD-3-Clause"][-1], "b/c/x.py": "code", "d/x.c": lgpl + prose(6, 200), "e/x.py": gpl, "f/x.py": prose(7, 300) + "\n" + full["MIT"][-1].replace("\n", "\n# ")}
+    texts |= {f"{name}/LICENSE": full[name][-1] for name in ("Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0")}
+    texts |= {f"z/{i}": prose(i) for i in range(100)}
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(texts.items())], "doc_id long, path string, text string")
+    got = {r["path"]: (r["license"], r["how"], r["is_license_file"]) for r in license_scan.scan(df.repartition(3)).collect()}
+    assert [got[p] for p in ("a/LICENSE", "a/x.py", "b/COPYING", "b/c/x.py")] == [("MIT", "own", True), ("MIT", "inherited", False), ("BSD-3-Clause", "own", True), ("BSD-3-Clause", "inherited", False)]
+    assert [got[p] for p in ("d/x.c", "e/x.py", "f/x.py")] == [("LGPL-2.1", "own", False), ("GPL-3.0", "own", False), ("MIT", "own", False)]
+    assert all(got[f"{name}/LICENSE"] == (name, "own", True) for name in ("Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0"))
+    assert {got[f"z/{i}"] for i in range(100)} == {(None, "none", False)}
+
+
 # 4
 
 
