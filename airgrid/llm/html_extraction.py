@@ -1,15 +1,16 @@
 """Main text of web pages by consensus host paths.
 
 1. A page is read as a stream of tags. Its containers (elements that hold blocks of text) are scored: prose counts
-   for them, text that is mostly links counts against them. The deepest container that has nearly the best score is
-   the page's own choice. It votes for its generalised path: the tags and classes from the root,
-   digits and hash-like classes left out.
+   for them, text that is mostly links counts against them. From the deepest container that has nearly the best score
+   (the core) the page's own choice is the nearest one above that holds all of the page's prose. It votes for its
+   generalised path: the tags and classes from the root, digits and hash-like classes left out.
 2. Spark counts the votes for each host and path; the paths that get SHARE of their host's pages win.
 3. Pages are read again: the text is that of the containers on a winning path (the path that scores best here if
    there are several); a page that has none of them keeps its own choice.
 
 In a container what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments is left out, by tag, role, and words of class and id.
+comments is left out, by tag, role, and words of class and id. So is, outside the core, text that is mostly links and
+stands neither in a heading nor right beside more prose.
 
 Edge cases: null, empty or textless html gives the empty text; html without a container gives all its text blocks;
 unclosed tags are closed by the blocks that follow; a null or odd url counts as the empty host; repeated rows vote
@@ -29,13 +30,14 @@ from pyspark.sql import functions as F
 
 from airgrid.llm.common import cut
 
-#: Share of a host's pages that a path needs; share of the best score that a deeper container needs; text of which this share is links isn't prose.
+#: Share of a host's pages that a path needs; share of the best score that the core needs; text of which this share is links isn't prose.
 SHARE, NEARLY, LINKS = 0.1, 0.7, 0.5
 #: Share of all pages from which a host is hot.
 HOT = 0.001
 
 #: HTML's elements without content, elements whose content isn't markup, elements that end a block of
 #: text, elements whose start ends an open paragraph, and elements that never hold an article's text.
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noframes noembed iframe xmp".split())
 BLOCK = frozenset(
@@ -80,7 +82,7 @@ class Page:
     paths: list[str] = field(default_factory=list)  # of containers
     parents: list[int] = field(default_factory=list)
     bonus: list[bool] = field(default_factory=list)
-    blocks: list[tuple[int, str, int]] = field(default_factory=list)  # (container, text, characters in links)
+    blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)  # (container, text, characters in links, heading)
 
 
 def generalised(tag: str, classes: str) -> str:
@@ -100,7 +102,7 @@ def parse(source: str) -> Page:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                page.blocks.append((stack[-1].container if stack else -1, text, in_links))
+                page.blocks.append((stack[-1].container if stack else -1, text, in_links, bool(stack) and stack[-1].tag in HEADING))
         parts, in_links = [], 0
 
     def said(text: str) -> None:
@@ -207,7 +209,7 @@ def parse(source: str) -> Page:
 def scores(page: Page) -> list[float]:
     """Of each container, with all that it holds."""
     own = [0.0] * len(page.paths)
-    for container, text, in_links in page.blocks:
+    for container, text, in_links, _ in page.blocks:
         if container >= 0:
             own[container] += len(text) if in_links < LINKS * len(text) else -len(text)
     for i in range(len(own) - 1, -1, -1):  # children come after their parents
@@ -216,23 +218,53 @@ def scores(page: Page) -> list[float]:
     return own
 
 
-def choice(page: Page) -> tuple[int, float]:
+def core(page: Page) -> int:
     """The deepest container with nearly the best score; one that says it is the article needs half of that share."""
     own = scores(page)
-    if not own:
-        return -1, 0.0
-    best = max(own)
+    best = max(own, default=0.0)
     if best <= 0:
-        return -1, 0.0
+        return -1
     marked = [i for i, s in enumerate(own) if page.bonus[i] and s >= NEARLY / 2 * best]
     near = [i for i, s in enumerate(own) if s >= NEARLY * best]
     # Of those that say it the outermost, so that no part of an article is lost; else the innermost.
-    pick = max(marked, key=lambda i: (own[i], -page.paths[i].count("/"), -i)) if marked else max(near, key=lambda i: (page.paths[i].count("/"), own[i], -i))
-    return pick, own[pick]
+    return max(marked, key=lambda i: (own[i], -page.paths[i].count("/"), -i)) if marked else max(near, key=lambda i: (page.paths[i].count("/"), own[i], -i))
+
+
+def prose(page: Page) -> tuple[list[int], int]:
+    """Characters of text that isn't mostly links: of each container, with all that it holds, and of the page."""
+    own, total = [0] * len(page.paths), 0
+    for container, text, in_links, _ in page.blocks:
+        if in_links < LINKS * len(text):
+            total += len(text)
+            if container >= 0:
+                own[container] += len(text)
+    for i in range(len(own) - 1, -1, -1):
+        if page.parents[i] >= 0:
+            own[page.parents[i]] += own[i]
+    return own, total
+
+
+def choice(page: Page) -> tuple[int, float]:
+    """The container nearest above the core that holds all prose, and how much; -1 if none does, or nothing is prose."""
+    own, total = prose(page)
+    pick = core(page)
+    while pick >= 0 and own[pick] < total:
+        pick = page.parents[pick]
+    return pick, float(own[pick]) if pick >= 0 else 0.0
+
+
+def under(page: Page, inside: list[bool]) -> list[bool]:
+    """The containers, and all that they hold."""
+    for i, parent in enumerate(page.parents):
+        inside[i] = inside[i] or (parent >= 0 and inside[parent])
+    return inside
 
 
 def extract(page: Page, winners: list[str]) -> str:
     """Blocks under the containers of the winning path that scores best here, else under the page's own choice."""
+    first = core(page)
+    if first < 0:
+        return "\n\n".join(b[1] for b in page.blocks)
     own = scores(page)
     by_path: dict[str, float] = {}
     for p, s in zip(page.paths, own, strict=True):
@@ -241,14 +273,21 @@ def extract(page: Page, winners: list[str]) -> str:
     pick = choice(page)[0]
     if known:
         path = max(known, key=lambda p: (by_path[p], p))
-        inside = [p == path for p in page.paths]
+        inside = under(page, [p == path for p in page.paths])
     else:
-        inside = [i == pick for i in range(len(page.paths))]
-    for i, parent in enumerate(page.parents):
-        inside[i] = inside[i] or (parent >= 0 and inside[parent])
-    if not any(inside):
-        return "\n\n".join(t for _, t, _ in page.blocks)
-    return "\n\n".join(t for c, t, _ in page.blocks if c >= 0 and inside[c])
+        inside = under(page, [i == pick or pick < 0 for i in range(len(page.paths))])
+    everywhere = pick < 0 and not known
+    central = under(page, [i == first for i in range(len(page.paths))])
+    beside = [0] * len(page.paths)  # prose less links, of what stands right in a container
+    for c, t, in_links, _ in page.blocks:
+        if c >= 0:
+            beside[c] += len(t) if in_links < LINKS * len(t) else -len(t)
+    out = []
+    for c, t, in_links, heading in page.blocks:
+        if (c >= 0 and inside[c]) or everywhere:
+            if in_links < LINKS * len(t) or heading or (c >= 0 and (central[c] or beside[c] > 0)):
+                out.append(t)
+    return "\n\n".join(out)
 
 
 def host_of(url: Column) -> Column:

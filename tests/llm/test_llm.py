@@ -396,6 +396,17 @@ def test_html_long():
     assert html_extraction.extract(html_extraction.parse(source), []).count("x") == 3000
 
 
+def test_html_keeps_all_prose(spark):
+    """Prose outside the heaviest container isn't lost; link lists beside it are left out."""
+    one, two = "First part of the text. " * 40, "Second part of the text. " * 60
+    links = "<div><ul><li><a href=x>Somewhere else on this site</a><li><a href=y>Another page of it</a></ul></div>"
+    for a, b, x, y in (("content", "details", one, two), ("", "", two * 2, one)):
+        source = f"<html><body>{links}<div class='{a}'><p>{x}</p></div><div class='{b}'><p>{y}</p></div></body></html>"
+        df = spark.createDataFrame([(i, "http://h.example/", source) for i in range(4)], "page_id long, url string, html string")
+        assert {r["text"] for r in html_extraction.extract_pages(df).collect()} == {f"{x.strip()}\n\n{y.strip()}"}
+    assert html_extraction.extract(html_extraction.parse(f"<p>{one}</p><div><p>{two}</p></div>"), []).count("part") == 100
+
+
 # 9
 
 
