@@ -5,8 +5,8 @@
    (the core) the page's own choice is the nearest one above that holds all of the page's prose. It votes for its
    generalised path: the tags and classes from the root, digits and hash-like classes left out.
 2. Spark counts the votes for each host and path; the paths that get SHARE of their host's pages win.
-3. Pages are read again: the text is that of the containers on a winning path (the path that scores best here if
-   there are several); a page that has none of them keeps its own choice.
+3. Pages are read again: the text is that of the containers on a winning path (the path with most prose here if there
+   are several) if they hold WHOLE of the page's prose; any other page keeps its own choice.
 
 In a container what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments is left out, by tag, role, and words of class and id. So is, outside the core, text that is mostly links and
@@ -32,6 +32,8 @@ from airgrid.llm.common import cut
 
 #: Share of a host's pages that a path needs; share of the best score that the core needs; text of which this share is links isn't prose.
 SHARE, NEARLY, LINKS = 0.1, 0.7, 0.5
+#: Share of a page's prose that a winning path has to hold there.
+WHOLE = 0.98
 #: Share of all pages from which a host is hot.
 HOT = 0.001
 
@@ -261,15 +263,15 @@ def under(page: Page, inside: list[bool]) -> list[bool]:
 
 
 def extract(page: Page, winners: list[str]) -> str:
-    """Blocks under the containers of the winning path that scores best here, else under the page's own choice."""
+    """Blocks under the containers of the winning path with most prose if that is WHOLE of the page's, else under the page's own choice."""
     first = core(page)
     if first < 0:
         return "\n\n".join(b[1] for b in page.blocks)
-    own = scores(page)
-    by_path: dict[str, float] = {}
-    for p, s in zip(page.paths, own, strict=True):
-        by_path[p] = by_path.get(p, 0.0) + s
-    known = [p for p in winners if by_path.get(p, 0.0) > 0]
+    own, total = prose(page)
+    by_path: dict[str, int] = {}
+    for p, n in zip(page.paths, own, strict=True):
+        by_path[p] = by_path.get(p, 0) + n
+    known = [p for p in winners if p in by_path and by_path[p] >= WHOLE * total]
     pick = choice(page)[0]
     if known:
         path = max(known, key=lambda p: (by_path[p], p))

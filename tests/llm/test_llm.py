@@ -407,6 +407,15 @@ def test_html_keeps_all_prose(spark):
     assert html_extraction.extract(html_extraction.parse(f"<p>{one}</p><div><p>{two}</p></div>"), []).count("part") == 100
 
 
+def test_html_small_block_on_the_winning_path(spark):
+    """A rare layout with a teaser on its host's usual path keeps its article."""
+    usual = "<html><body><div class=story><p>" + "A usual page of this host. " * 30 + "</p></div></body></html>"
+    rare = "<html><body><div class=story><p>A teaser of some words.</p></div><section><p>" + "The rare article itself. " * 50 + "</p></section></body></html>"
+    df = spark.createDataFrame([(i, "http://h.example/", rare if i == 0 else usual) for i in range(30)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extraction.extract_pages(df.repartition(2)).collect()}
+    assert got[0].count("rare article") == 50 and "teaser" in got[0] and got[1].count("usual") == 30
+
+
 # 9
 
 
