@@ -9,7 +9,11 @@
    are several) if they hold WHOLE of the page's prose; any other page keeps its own choice.
 
 In a container what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments is left out, by tag, role, and words of class and id. So is, outside the core, text that is mostly links and
+comments is left out, by tag, role, and words of class and id. Inside an article a name alone is not enough, except a
+class of adverts: a named block goes if most of it is links, if it holds form fields and little text, if it is a list of
+comments, or if its class is a page's tool (sharing, menus) and it holds no sentence (any tool, where only a name tells
+that this is an article). A block with an h1 stays, and ids of
+headings and paragraphs never count. So is, outside the core, text that is mostly links and
 stands neither in a heading nor right beside more prose.
 
 Edge cases: null, empty or textless html gives the empty text; html without a container gives all its text blocks;
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -57,6 +62,17 @@ BOILERPLATE = re.compile(
     r"header|masthead|topbar|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|"
     r"comments?|commentlist|disqus|replies|respond|discussion|related|recommend\w*|widget|toolbar|pagination|pager|skip|search|copyright|legal|tagcloud)(?:$|[^a-z])"
 )
+#: Of these the classes of adverts, the names of a page's tools rather than of topics, and comments.
+ADVERT = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|adslot)(?:$|[^a-z])")
+TOOL = re.compile(
+    r"(?:^|[^a-z])(?:sidebar|side-?bar|nav|navbar|navigation|menu|breadcrumbs?|footer|foot|masthead|topbar|cookies?|consent|gdpr|popup|modal|overlay|newsletter|"
+    r"subscribe|subscription|signup|login|share|sharing|social|toolbar|pagination|pager|skip|tagcloud)(?:$|[^a-z])"
+)
+COMMENT_LIST = re.compile(r"(?:^|[^a-z])(?:comments|commentlist|disqus|replies)(?:$|[^a-z])")
+COMMENT = re.compile(r"(?:^|[^a-z])(?:comment|reply)(?:$|[^a-z])")
+FIELDS = frozenset("form input select textarea button".split())
+#: Characters of prose from which form fields are no sign of a form; words of a sentence.
+FORM_TEXT, SENTENCE = 500, 8
 ARTICLE = re.compile(r"(?:^|[^a-z])(?:article\w*|content|main|post|entry|story|body-?text|text|prose)(?:$|[^a-z])")
 
 TOKEN = re.compile(
@@ -76,7 +92,31 @@ class Element:
     path: str
     dropped: bool
     container: int  # index of the nearest container
-    in_article: bool = False
+    in_article: int = 0  # 1 inside a container whose name is an article's, 2 inside an article element
+    suspect: int = -1  # index of the nearest suspect
+
+
+@dataclass
+class Suspect:
+    """A block inside an article whose name is one of boilerplate, and what speaks for that."""
+
+    parent: int
+    path: str
+    classes: str
+    named: str
+    text: int = 0
+    links: int = 0
+    fields: int = 0
+    comments: int = 0
+    sentences: int = 0
+    title: bool = False
+
+    def boilerplate(self) -> bool:
+        if self.title:
+            return False
+        form = self.fields > 0 and self.text < FORM_TEXT
+        tool = bool(TOOL.search(self.classes)) and not self.sentences
+        return bool(ADVERT.search(self.classes)) or (0 < self.text <= self.links / LINKS) or form or tool or self.comments > 0
 
 
 @dataclass
@@ -98,13 +138,26 @@ def parse(source: str) -> Page:
     parts: list[str] = []
     in_links = 0
     links = 0  # open a elements
+    suspects: list[Suspect] = []
+    of_block: list[int] = []  # the nearest suspect of each block
 
     def end_block() -> None:
         nonlocal parts, in_links
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                page.blocks.append((stack[-1].container if stack else -1, text, in_links, bool(stack) and stack[-1].tag in HEADING))
+                heading = bool(stack) and stack[-1].tag in HEADING
+                page.blocks.append((stack[-1].container if stack else -1, text, in_links, heading))
+                at = stack[-1].suspect if stack else -1
+                of_block.append(at)
+                while at >= 0:
+                    e = suspects[at]
+                    e.title = e.title or stack[-1].tag == "h1"
+                    if not heading:
+                        e.text += len(text)
+                        e.links += in_links
+                        e.sentences += text.count(" ") + 1 >= SENTENCE and in_links < LINKS * len(text)
+                    at = e.parent
         parts, in_links = [], 0
 
     def said(text: str) -> None:
@@ -165,6 +218,11 @@ def parse(source: str) -> Page:
             said("\n")
         elif tag == "img" or tag == "wbr":
             continue
+        if tag in FIELDS and stack:
+            i = stack[-1].suspect
+            while i >= 0:
+                suspects[i].fields += 1
+                i = suspects[i].parent
         if tag in VOID:
             continue
         classes = role = ""
@@ -185,26 +243,42 @@ def parse(source: str) -> Page:
                 elif name == "aria-hidden" and value == "true":
                     hidden = True
         above = stack[-1] if stack else None
-        in_article = bool(above and above.in_article) or tag in ("article", "main")
+        inside = above.in_article if above else 0
+        in_article = 2 if tag in ("article", "main") or role in ("main", "article") else max(inside, int(tag in CONTAINER and tag != "body" and bool(named and ARTICLE.search(named))))
         dropped = bool(above and above.dropped) or hidden or tag in DROPPED or role in DROPPED_ROLES
         if not dropped and (tag in ("header", "footer")):
-            dropped = tag == "footer" or not in_article
-        if not dropped and named and tag not in ("body", "html", "article", "main") and BOILERPLATE.search(named):
-            dropped = True
+            dropped = tag == "footer" or in_article < 2
         path = f"{above.path}/{generalised(tag, classes)}" if above else generalised(tag, classes)
+        suspect = above.suspect if above else -1
+        if not dropped and suspect >= 0 and (COMMENT.search(classes.lower()) or (tag in ("li", "article") and COMMENT_LIST.search(suspects[suspect].classes))):
+            suspects[suspect].comments += bool(COMMENT_LIST.search(suspects[suspect].named))
+        if not dropped and named and tag not in ("body", "html", "article", "main"):
+            judged = classes.lower() if tag in HEADING or tag == "p" else named
+            if BOILERPLATE.search(judged):
+                if not inside or (inside < 2 and TOOL.search(judged)) or (tag not in BLOCK and ADVERT.search(classes.lower())):
+                    dropped = True
+                elif tag in BLOCK and tag not in HEADING:
+                    suspects.append(Suspect(suspect, path, classes.lower(), judged))
+                    suspect = len(suspects) - 1
         container = above.container if above else -1
         if tag in CONTAINER and not dropped:
             page.paths.append(path)
             page.parents.append(container)
             page.bonus.append(tag in ("article", "main") or role in ("main", "article") or bool(named and ARTICLE.search(named)))
             container = len(page.paths) - 1
-        stack.append(Element(tag, path, dropped, container, in_article))
+        stack.append(Element(tag, path, dropped, container, in_article, suspect))
         links += tag == "a"
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = end.start() if end else n
     close(0)
     end_block()
+    if suspects:
+        comments = Counter(e.path for e in suspects if COMMENT.search(e.classes))
+        gone: list[bool] = []
+        for e in suspects:  # children come after their parents
+            gone.append((e.parent >= 0 and gone[e.parent]) or e.boilerplate() or (comments[e.path] > 1 and bool(COMMENT.search(e.classes))))
+        page.blocks = [b for b, at in zip(page.blocks, of_block, strict=True) if at < 0 or not gone[at]]
     return page
 
 

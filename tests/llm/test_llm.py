@@ -416,6 +416,24 @@ def test_html_small_block_on_the_winning_path(spark):
     assert got[0].count("rare article") == 50 and "teaser" in got[0] and got[1].count("usual") == 30
 
 
+def test_html_names_inside_an_article():
+    """A name alone takes nothing out of an article; links, forms, lists of comments and adverts do."""
+    keep = [
+        "<section id=discussion><p>{}</p></section>", "<section id='related-work'><h2 id=search>Search</h2><p>{}</p></section>", "<div class=legal>{}</div>",
+        "<p class=notice>{}</p>", "<div class='entry-header'><h1><a href=x>The title</a></h1><p>{}</p></div>", "<p>Some <span class=alert>{}</span></p>",
+    ]
+    drop = [
+        "<div class=share>{}</div>", "<div class=related><ul><li><a href=x>{}</a></ul></div>", "<div class=widget>{}<input name=q></div>", "<div class=ad>{}</div>",
+        "<ol class=comments><li>{}<li>two</ol>", "<div class=comment>{}</div><div class=comment>b</div>",
+    ]
+    for tag in ("article", "div class=content", "main"):
+        inner = [f.format(f"keep{i}") for i, f in enumerate(keep)] + [f.format(f"drop{i}") for i, f in enumerate(drop)]
+        source = f"<body><{tag}><p>{'The text of this page. ' * 30}</p>{''.join(inner)}</{tag.split()[0]}><div class=legal>outside</div></body>"
+        got = html_extraction.extract(html_extraction.parse(source), [])
+        assert [i for i in range(len(keep)) if f"keep{i}" not in got] == [] and [i for i in range(len(drop)) if f"drop{i}" in got] == []
+        assert "Search" in got and "The title" in got and "outside" not in got
+
+
 # 9
 
 
