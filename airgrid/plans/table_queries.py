@@ -21,6 +21,9 @@ def text(c: Column | str) -> Column:
 
 # Catalogue
 
+#: Rows of a rendered page at most, so that pages grow in number and not in size.
+PAGE_ROWS = 50
+
 
 @query("""
     SELECT l_orderkey, l_partkey, l_extendedprice, lpad(CAST(l_linenumber * 3 AS VARCHAR), 2, '0') || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') || ':00' AS start_time,
@@ -75,20 +78,24 @@ def programme_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT CAST(s_suppkey % 7 AS VARCHAR) AS path, s_suppkey, s_name || ' & ' || n_name AS label FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
 def catalogue_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers rendered as the body rows of catalogue pages, read back."""
+    """Suppliers rendered as the body rows of catalogue pages, PAGE_ROWS in each at most, read back."""
     rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     tr = F.concat(F.lit("<tr><td>"), text("s_suppkey"), F.lit("<td><b>"), "s_name", F.lit("</b> &amp;\n "), "n_name", F.lit("</td></tr>"))
-    pages = rows.groupBy(text(F.col("s_suppkey") % 7).alias("path")).agg(F.concat(F.lit("<html><table><tbody>"), F.concat_ws("", F.sort_array(F.collect_list(tr))), F.lit("</tbody></table>")).alias("html"))
+    page = F.floor(F.col("s_suppkey") / (7 * PAGE_ROWS)).alias("page")
+    pages = rows.groupBy(text(F.col("s_suppkey") % 7).alias("path"), page).agg(F.concat(F.lit("<html><table><tbody>"), F.concat_ws("", F.sort_array(F.collect_list(tr))), F.lit("</tbody></table>")).alias("html"))
     return html.catalogue_rows(pages, ("path",)).select("path", F.get("cells", 0).cast("long").alias("s_suppkey"), F.get("cells", 1).alias("label"))
 
 
 @query("""
     WITH l AS (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1) SELECT c_mktsegment AS channel, n FROM l""")
 def facet_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = table(spark, sf_dir, "customer").groupBy("c_mktsegment").count()
+    """A page for each PAGE_ROWS customers with its counts, read back and added up."""
+    year = F.floor(F.col("c_custkey") / PAGE_ROWS).alias("year")
+    counts = table(spark, sf_dir, "customer").groupBy(year, "c_mktsegment").count()
     a = F.concat(F.lit("<tr><td><a onclick=\"filterQueryByFacet('ch')\">"), "c_mktsegment", F.lit(" ("), text("count"), F.lit(")</a></td></tr>"))
-    page = counts.groupBy(F.lit(1).alias("year")).agg(F.concat(F.lit('<table class="table_facettes">'), F.concat_ws("", F.collect_list(a)), F.lit("<tr><td><a>others (3)</a></td></tr></table>")).alias("html"))
-    return html.facet_labels(page).select(parse_facet_label(F.col("label")).alias("f")).where("f is not null").select("f.*")
+    page = counts.groupBy("year").agg(F.concat(F.lit('<table class="table_facettes">'), F.concat_ws("", F.collect_list(a)), F.lit("<tr><td><a>others (3)</a></td></tr></table>")).alias("html"))
+    labels = html.facet_labels(page).select(parse_facet_label(F.col("label")).alias("f")).where("f is not null").select("f.*")
+    return labels.groupBy("channel").agg(F.sum("n").alias("n"))
 
 
 @query("""

@@ -38,6 +38,29 @@ def test_query(spark, db, name):
         assert rows == sorted([plain(v) for v in r] for r in want.select(*columns).fetchall())
 
 
+def test_pages_are_of_bounded_size(spark, tmp_path, monkeypatch):
+    """Pages of suppliers and customers grow in number with the tables, not in size."""
+    from pyspark.sql import functions as F
+
+    from airgrid.plans import table_queries
+
+    spark.range(5000).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("S"), "id").alias("s_name"), F.lit(1).alias("s_nationkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "N")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(5000).select(F.col("id").alias("c_custkey"), F.concat(F.lit("M"), F.col("id") % 3).alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    seen = []
+    for name in ("catalogue_rows", "facet_labels"):
+        def keep(pages, *more, own=getattr(table_queries.html, name)):
+            seen.append(pages)
+            return own(pages, *more)
+
+        monkeypatch.setattr(table_queries.html, name, keep)
+    assert table_queries.catalogue_cells(spark, str(tmp_path)).distinct().count() == 5000
+    assert {tuple(r) for r in table_queries.facet_labels(spark, str(tmp_path)).collect()} == {("M0", 1667), ("M1", 1667), ("M2", 1666)}
+    for pages in seen:
+        n, longest = pages.agg(F.count(F.lit(1)), F.max(F.size(F.split("html", "<tr>")) - 1)).first()
+        assert n >= 100 and longest <= table_queries.PAGE_ROWS
+
+
 def test_without_the_optional_parts(spark):
     import __spark_entry__
 
