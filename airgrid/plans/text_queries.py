@@ -143,6 +143,11 @@ def slugify_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.unionByName(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), slugify(F.col("p_name")).alias("slug")))
 
 
+@query("SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM documents")
+def slugify_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", slugify(F.col("text")).alias("slug"))
+
+
 @query("SELECT doc_id, trim(lower(strip_accents(text)), ' ' || chr(10)) AS folded FROM documents")
 def accents_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", fold_accents(F.col("text")).alias("folded"))
