@@ -3,7 +3,8 @@
 The kernel of two spans is the cosine of their gap-weighted counts of common subsequences of 3 and 4 characters,
 each DECAY to the power of the length it stretches over, so characters that are left out or put in between weaken
 a match and don't break it. A span is a token between blanks, folded to BASE symbols with marks for its two ends;
-long tokens give overlapping windows, and characters set apart by blanks are joined to a span of their own.
+long tokens give overlapping windows, and single characters set apart by up to three separators are joined to a span of
+their own. No other span runs over blanks, so words broken in pieces and phrases of harmless words are not seen whole.
 
 Training (on the driver, on a bounded sample of labelled documents): a sentence has its document's label, and a
 sentence of a toxic document is represented by the span that looks most toxic, a multiple-instance choice that is
@@ -39,7 +40,8 @@ MAX_DOCS, LANDMARKS, SPAN = 1000, 80, 18
 DECAY, SIZES, GAPS = 0.6, (3, 4), (3, 2)
 THRESHOLD = 0.3
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
-SPACED = re.compile(r"(?<!\S)\w(?:[ ._*\-]\w){2,}(?!\S)")
+#: Single letters with one to three separators between them.
+SPACED = re.compile(r"(?<!\S)\w(?:[ ._*\-]{1,3}\w){2,}(?!\S)")
 #: Spans that fewer toxic texts hold are no evidence; labels have errors.
 SUPPORT = 3
 #: Log likelihood ratio that a span needs, against chance among very many spans.

@@ -284,6 +284,12 @@ def test_toxicity(spark):
     assert toxicity.fit(["a"], [0]) is None
 
 
+def test_toxicity_letters_further_apart():
+    for text in ("you s . t . u . p . i . d here", "you s  t  u  p  i  d here", "you s-t-u-p-i-d here"):
+        assert "stupid" in toxicity.spans_of(text)
+    assert "stupid" not in toxicity.spans_of("s .... t .... u .... p .... i .... d")
+
+
 def test_ids_pass_unchanged(spark):
     big = [2**60 + 1, None, 7]
     df = spark.createDataFrame([(i, f"some text {k}") for k, i in enumerate(big)], "doc_id long, text string").coalesce(1)
