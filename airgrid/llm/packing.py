@@ -51,14 +51,15 @@ class WordTokenizer:
     """The ids of a lower-casing word-level BPE file, as little-endian 32-bit bytes.
 
     No word of such a file spans white space, so the ids of a token between blanks are looked up once and remembered.
-    Texts with characters outside _PLAIN go through the tokenizer whole. Equal to it on any text.
+    Texts with characters outside _PLAIN, or with an added token's string, go through the tokenizer whole. Equal to
+    it on any text: an added token's string has that token's id, as the file says.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
@@ -82,7 +83,7 @@ class WordTokenizer:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not _PLAIN.fullmatch(text):
+        if not _PLAIN.fullmatch(text) or any(x in text for x in self.special):
             return self._whole(text)
         tokens = text.lower().split()
         try:
