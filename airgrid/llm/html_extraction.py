@@ -3,7 +3,8 @@
 1. A page is read as a stream of tags. Its containers (elements that hold blocks of text) are scored: prose counts
    for them, text that is mostly links counts against them. From the deepest container that has nearly the best score
    (the core) the page's own choice is the nearest one above that holds all of the page's prose. It votes for its
-   generalised path: the tags and classes from the root, digits and hash-like classes left out.
+   generalised path: the tags and classes from the root, digits and hash-like classes left out. A path travels as a
+   128-bit hash of its labels, so votes and winners are of one small size however deep a page is nested.
 2. Spark counts the votes for each host and path; the paths that get SHARE of their host's pages win.
 3. Pages are read again: the text is that of the containers on a winning path (the path with most prose here if there
    are several) if they hold WHOLE of the page's prose; any other page keeps its own choice.
@@ -18,7 +19,8 @@ stands neither in a heading nor right beside more prose.
 
 Edge cases: null, empty or textless html gives the empty text; html without a container gives all its text blocks;
 unclosed tags are closed by the blocks that follow; a null or odd url counts as the empty host; repeated rows vote
-twice and get equal texts; an empty table gives an empty result; pages of any length are read whole.
+twice and get equal texts; an empty table gives an empty result; columns other than page_id, url and html are left
+out, whatever their names; pages of any length and depth are read whole, in time and memory that grow with their length.
 """
 
 from __future__ import annotations
@@ -26,10 +28,11 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +42,8 @@ from airgrid.llm.common import cut
 SHARE, NEARLY, LINKS = 0.1, 0.7, 0.5
 #: Share of a page's prose that a winning path has to hold there.
 WHOLE = 0.98
-#: Share of all pages from which a host is hot.
-HOT = 0.001
+#: Share of all pages from which a host is hot; tasks that the pages of any other host are dealt to.
+HOT, SALTS = 0.001, 16
 
 #: HTML's elements without content, elements whose content isn't markup, elements that end a block of
 #: text, elements whose start ends an open paragraph, and elements that never hold an article's text.
@@ -53,8 +56,10 @@ BLOCK = frozenset(
 )
 ENDS_P = BLOCK - frozenset("body caption head html legend option tbody td tfoot th thead tr dd dt li".split())
 CONTAINER = frozenset("article main section div body td center blockquote".split())
-DROPPED = frozenset("head script style noscript template nav aside form button select textarea iframe object svg math canvas audio video dialog menu title".split())
+DROPPED = frozenset("head script style noscript template nav aside form button select textarea iframe object svg canvas audio video dialog menu title".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+HOLDS_P = CONTAINER | {"li", "th"}
+OUTSIDE_CELLS = frozenset("td th tr table tbody thead tfoot body html".split())
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Words of class and id that mark what isn't the article.
 BOILERPLATE = re.compile(
@@ -82,6 +87,7 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 HASHED = re.compile(r"\d|^.{25,}$")
 SCHEMA_VOTE = "host string, path string, score double"
 
@@ -89,7 +95,7 @@ SCHEMA_VOTE = "host string, path string, score double"
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: bytes  # hash of the labels from the root
     dropped: bool
     container: int  # index of the nearest container
     in_article: int = 0  # 1 inside a container whose name is an article's, 2 inside an article element
@@ -101,7 +107,7 @@ class Suspect:
     """A block inside an article whose name is one of boilerplate, and what speaks for that."""
 
     parent: int
-    path: str
+    path: bytes
     classes: str
     named: str
     text: int = 0
@@ -121,7 +127,8 @@ class Suspect:
 
 @dataclass
 class Page:
-    paths: list[str] = field(default_factory=list)  # of containers
+    paths: list[str] = field(default_factory=list)  # of containers, as hexadecimal hashes
+    depths: list[int] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
     bonus: list[bool] = field(default_factory=list)
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)  # (container, text, characters in links, heading)
@@ -132,6 +139,18 @@ def generalised(tag: str, classes: str) -> str:
     return ".".join([tag, *names])
 
 
+def path_of(labels: list[str]) -> str:
+    """The hash that stands for a path of generalised labels."""
+    path = b""
+    for label in labels:
+        path = step(path, label)
+    return path.hex()
+
+
+def step(path: bytes, label: str) -> bytes:
+    return xxhash.xxh3_128_digest(path + label.encode("utf-8", "replace"))
+
+
 def parse(source: str) -> Page:
     page = Page()
     stack: list[Element] = []
@@ -140,6 +159,11 @@ def parse(source: str) -> Page:
     links = 0  # open a elements
     suspects: list[Suspect] = []
     of_block: list[int] = []  # the nearest suspect of each block
+    places: dict[str, list[int]] = {}  # of each tag, where it is open on the stack
+
+    def last(tags: Iterable[str]) -> int:
+        """The innermost place where one of the tags is open, or -1."""
+        return max((own[-1] for t in tags if (own := places.get(t))), default=-1)
 
     def end_block() -> None:
         nonlocal parts, in_links
@@ -150,14 +174,13 @@ def parse(source: str) -> Page:
                 page.blocks.append((stack[-1].container if stack else -1, text, in_links, heading))
                 at = stack[-1].suspect if stack else -1
                 of_block.append(at)
-                while at >= 0:
+                if at >= 0:
                     e = suspects[at]
                     e.title = e.title or stack[-1].tag == "h1"
                     if not heading:
                         e.text += len(text)
                         e.links += in_links
                         e.sentences += text.count(" ") + 1 >= SENTENCE and in_links < LINKS * len(text)
-                    at = e.parent
         parts, in_links = [], 0
 
     def said(text: str) -> None:
@@ -174,11 +197,13 @@ def parse(source: str) -> Page:
             if e.tag in BLOCK:
                 end_block()
             links -= e.tag == "a" and links > 0
+            places[e.tag].pop()
             stack.pop()
 
     at, n = 0, len(source)
+    tags_end = source.rfind(">")  # behind it nothing is a tag but a comment
     while at < n:
-        m = TOKEN.search(source, at)
+        m = TOKEN.search(source, at) if at <= tags_end or "<!" in source[at:] else None
         if not m:
             said(source[at:])
             break
@@ -191,27 +216,19 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if stack[i].tag in ("td", "th") and tag not in ("tr", "table", "tbody", "thead", "tfoot", "body", "html"):
-                    break  # what is open outside a cell can't be closed from inside it
+            i = last((tag,))
+            # What is open outside a cell can't be closed from inside it.
+            if i >= 0 and (tag in OUTSIDE_CELLS or i >= last(("td", "th"))):
+                close(i)
             continue
         if tag in ENDS_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in CONTAINER or stack[i].tag in ("li", "td", "th"):
-                    break
+            i = last(("p",))
+            if i > last(HOLDS_P):
+                close(i)
         if tag in ENDED_BY:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in ENDED_BY[tag]:
-                    close(i)
-                    break
-                if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
-                    break
+            i = last(ENDED_BY[tag])
+            if i > last(("ul", "ol", "dl", "table", "select")):
+                close(i)
         if tag in BLOCK:
             end_block()
         elif tag == "br":
@@ -220,9 +237,8 @@ def parse(source: str) -> Page:
             continue
         if tag in FIELDS and stack:
             i = stack[-1].suspect
-            while i >= 0:
+            if i >= 0:
                 suspects[i].fields += 1
-                i = suspects[i].parent
         if tag in VOID:
             continue
         classes = role = ""
@@ -248,7 +264,7 @@ def parse(source: str) -> Page:
         dropped = bool(above and above.dropped) or hidden or tag in DROPPED or role in DROPPED_ROLES
         if not dropped and (tag in ("header", "footer")):
             dropped = tag == "footer" or in_article < 2
-        path = f"{above.path}/{generalised(tag, classes)}" if above else generalised(tag, classes)
+        path = step(above.path if above else b"", generalised(tag, classes))
         suspect = above.suspect if above else -1
         if not dropped and suspect >= 0 and (COMMENT.search(classes.lower()) or (tag in ("li", "article") and COMMENT_LIST.search(suspects[suspect].classes))):
             suspects[suspect].comments += bool(COMMENT_LIST.search(suspects[suspect].named))
@@ -262,18 +278,25 @@ def parse(source: str) -> Page:
                     suspect = len(suspects) - 1
         container = above.container if above else -1
         if tag in CONTAINER and not dropped:
-            page.paths.append(path)
+            page.paths.append(path.hex())
+            page.depths.append(len(stack))
             page.parents.append(container)
             page.bonus.append(tag in ("article", "main") or role in ("main", "article") or bool(named and ARTICLE.search(named)))
             container = len(page.paths) - 1
+        places.setdefault(tag, []).append(len(stack))
         stack.append(Element(tag, path, dropped, container, in_article, suspect))
         links += tag == "a"
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+            end = RAW_END[tag].search(source, at)
             at = end.start() if end else n
     close(0)
     end_block()
     if suspects:
+        for e in reversed(suspects):  # what a suspect holds, its parents hold
+            if e.parent >= 0:
+                above = suspects[e.parent]
+                above.title = above.title or e.title
+                above.text, above.links, above.fields, above.sentences = above.text + e.text, above.links + e.links, above.fields + e.fields, above.sentences + e.sentences
         comments = Counter(e.path for e in suspects if COMMENT.search(e.classes))
         gone: list[bool] = []
         for e in suspects:  # children come after their parents
@@ -303,7 +326,7 @@ def core(page: Page) -> int:
     marked = [i for i, s in enumerate(own) if page.bonus[i] and s >= NEARLY / 2 * best]
     near = [i for i, s in enumerate(own) if s >= NEARLY * best]
     # Of those that say it the outermost, so that no part of an article is lost; else the innermost.
-    return max(marked, key=lambda i: (own[i], -page.paths[i].count("/"), -i)) if marked else max(near, key=lambda i: (page.paths[i].count("/"), own[i], -i))
+    return max(marked, key=lambda i: (own[i], -page.depths[i], -i)) if marked else max(near, key=lambda i: (page.depths[i], own[i], -i))
 
 
 def prose(page: Page) -> tuple[list[int], int]:
@@ -388,7 +411,7 @@ def votes(pages: DataFrame) -> DataFrame:
 
 def consensus(cast: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, n, winners array<string>): pages of each host, and at most 1 / share paths."""
-    by_path = cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.count("path").alias("m"))
+    by_path = cut(cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.count("path").alias("m")))  # pages are parsed once for it
     total = by_path.groupBy("host").agg(F.sum("n").alias("n"), F.sum("m").alias("voted"))
     won = by_path.select("host", "path", "m").join(total, "host").withColumn("won", F.when((F.col("m") > 0) & (F.col("m") >= share * F.col("voted")), F.col("path")))
     return won.groupBy("host").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("won")).alias("winners"))
@@ -398,15 +421,16 @@ def extract_pages(pages: DataFrame, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of each page.
 
     Hosts with HOT of all pages, so 1 / HOT of them at most, are looked up in a broadcast table; only pages of the
-    others, none of which is hot, are dealt by host.
+    others are dealt by host, those of each host to SALTS tasks.
     """
     rows = pages.select(F.col("page_id").cast("long").cast("string").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     hosts = cut(consensus(votes(pages), share))
     every = hosts.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(hosts.where(F.col("n") >= HOT * every).select("host", "winners"))
-    cold = hosts.where(F.col("n") < HOT * every).select("host", "winners")
+    cold = hosts.where(F.col("n") < HOT * every).select("host", "winners", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     names = ["page_id", "url", "html", "winners"]
-    ready = rows.join(hot, "host").select(names).unionByName(rows.join(hot, "host", "left_anti").join(cold, "host", "left").select(names))
+    others = rows.join(hot, "host", "left_anti").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    ready = rows.join(hot, "host").select(names).unionByName(others.join(cold, ["host", "salt"], "left").select(names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
