@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airgrid.shipping import ship
@@ -21,13 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path for written tables, in the folder that spark.checkpoint.dir names; it is set only where unset."""
+    """A fresh path for written tables, in the folder that spark.checkpoint.dir names.
+
+    Where that is unset, local mode takes a temporary folder; a cluster has none that all its machines share, so there it is an error.
+    """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-shared-"))
     return f"{sc.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that shared_dir named, once nothing reads it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, computed once and kept in the shared folder, so that lost executors cost no re-run of what led to them."""
     shared_dir(df.sparkSession, "unused")
@@ -45,14 +57,17 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WS_CLASS + "+"))
 
 
-def bounded_sample(df: DataFrame, key: str, per_key: int, seed: int, order_by: str = "doc_id") -> DataFrame:
-    """Of each value of key the per_key rows with the smallest hash of order_by.
+def bounded_sample(df: DataFrame, key: str, per_key: int, seed: int, order_by: str = "doc_id", columns: tuple[str, ...] = ()) -> DataFrame:
+    """(key, order_by, columns) of the per_key ids order_by with the smallest hashes of each value of key, one row for each id.
 
-    Only ids and keys are ranked (Spark limits each group before the shuffle as well); the chosen ids, of which
-    there are per_key for each value at most, then pick the whole rows.
+    Ids are counted first, so that a threshold of the hash leaves about twice per_key of them before any are shuffled:
+    what a task gets grows neither with the table nor with the number of tasks. Rows that repeat an id meet in the
+    partial aggregation and are one row, the smallest by columns.
     """
-    from pyspark.sql import Window
-
-    ranked = df.select(key, order_by, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), F.col(order_by)), order_by)).alias("rank_in_key"))
-    chosen = ranked.where(F.col("rank_in_key") <= per_key).select(order_by).distinct()
-    return df.join(F.broadcast(chosen), order_by, "left_semi")
+    h = F.xxhash64(F.lit(seed), F.col(order_by))
+    n = df.groupBy(key).agg(F.approx_count_distinct(order_by).alias("__ids"))
+    near = df.select(key, order_by, *columns).join(n.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key")))
+    near = near.where(h / 2.0**64 + 0.5 <= (2.0 * per_key + 100) / F.greatest(F.col("__ids"), F.lit(1)))
+    one = near.groupBy(key, order_by).agg(F.min(F.struct(*columns) if columns else F.lit(0)).alias("__row"))
+    ranked = one.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(h, order_by))).where(F.col("__rank") <= per_key)
+    return ranked.select(key, order_by, *(F.col(f"__row.{c}").alias(c) for c in columns))

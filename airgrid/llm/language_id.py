@@ -11,7 +11,6 @@ input other than the id and the text are not looked at.
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -22,9 +21,9 @@ from pyspark.sql import functions as F
 
 from airgrid.llm.common import bounded_sample
 
-#: Labelled documents read for each language at most, and bytes of each dictionary.
+#: Labelled documents read for each language at most; bytes of each dictionary, of all together, and of a slice.
 MAX_DOCS = 128
-DICTIONARY_BYTES = 1 << 17
+DICTIONARY_BYTES, ALL_BYTES, SLICE = 1 << 17, 1 << 26, 512
 LEVEL = 3
 #: Whole texts are compressed in slices, each against the fresh dictionary: else a long text is its own dictionary.
 SLICE_BYTES = 1 << 13
@@ -37,17 +36,22 @@ SCHEMA = "lang_pred string, score double, rejected boolean"
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", max_docs: int = MAX_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Dictionary of each language, from at most max_docs texts of it (the bound of what reaches the driver).
 
-    The dictionary is made of evenly spaced slices of all of them, in the order of a seeded hash.
+    The dictionary is made of evenly spaced slices of all of them, in the order of a seeded hash. Very many languages
+    share ALL_BYTES, so that what is broadcast stays bounded.
     """
-    rows = bounded_sample(labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, text, lang), lang, max_docs, 1, key)
+    rows = bounded_sample(labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()), lang, max_docs, 1, key, (text,))
     found = rows.select(lang, F.xxhash64(F.lit(1), F.col(key)).alias("h"), text).orderBy(lang, "h", text).collect()
-    out = {}
-    for name, group in itertools.groupby(found, key=lambda r: r[lang]):
-        data = "\n".join(r[text].lower() for r in group).encode("utf-8", "replace")
-        slices = [data[i : i + 512] for i in range(0, len(data), 512)]
-        step = max(1, len(data) // size)
-        out[name] = b"".join(slices[::step])[:size]
-    return out
+    texts: dict[str, list[str]] = {}
+    for r in found:
+        texts.setdefault(r[lang], []).append(r[text].lower())
+    return {name: spread("\n".join(own).encode("utf-8", "replace"), min(size, ALL_BYTES // len(texts))) for name, own in texts.items()}
+
+
+def spread(data: bytes, size: int) -> bytes:
+    """size bytes of data, in slices that are spread evenly over all of it."""
+    slices = -(-len(data) // SLICE)
+    n = min(slices, max(1, size // SLICE))
+    return b"".join(data[i * slices // n * SLICE :][:SLICE] for i in range(n))[:size]
 
 
 class Identifier:

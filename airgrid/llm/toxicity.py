@@ -273,11 +273,14 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 3, landmarks: int = LA
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_docs: int = MAX_DOCS) -> Model | None:
-    """From at most max_docs documents of each class, chosen by a seeded hash (the bound of what reaches the driver)."""
+    """From at most max_docs documents of each class, chosen by a seeded hash: the bound of what reaches the driver.
+
+    Rows that repeat an id are one document, with the larger label and the smallest text.
+    """
     y = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("__y"))
-    ids = docs.select(key).join(y, key)
-    chosen = bounded_sample(ids, "__y", max_docs, 6, key)
-    rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")).join(F.broadcast(chosen), key).orderBy(key, "__t").collect()
+    chosen = bounded_sample(docs.select(key).join(y, key), "__y", max_docs, 6, key)
+    near = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")).join(F.broadcast(chosen), key)  # 2 * max_docs ids
+    rows = near.groupBy(key).agg(F.min("__t").alias("__t"), F.min("__y").alias("__y")).orderBy(key).collect()
     return fit([r["__t"] for r in rows], [r["__y"] for r in rows])
 
 
