@@ -9,7 +9,8 @@ same file in its place. The folder may be any that pyarrow's file systems open.
 
 Edge cases: null html is an empty payload; a null url leaves out the target; a null page id is written as `null`,
 counts as the smallest and reads back as null; rows that repeat page id and payload are equal, so each is a response
-if that page id is the largest; without a page there is no archive; if the sample is too small to train on, its
+if that page id is the largest; without a page there is no archive; other columns are left out, whatever their names; a payload that was changed in
+an archive is an error when it is read; if the sample is too small to train on, its
 records are the dictionary as they are.
 """
 
@@ -22,6 +23,7 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -31,6 +33,8 @@ from airgrid.llm.common import bounded_sample, cut, shared_dir
 
 #: Records of the sample and bytes of the dictionary at most.
 SAMPLE, DICTIONARY_BYTES, LEVEL = 600, 1 << 16, 6
+#: Bytes of records that a task hands on at a time.
+BATCH_BYTES = 1 << 24
 #: Fixed value: the magic number of the skippable frame that holds the dictionary.
 MAGIC = 0x184D2A5D
 DATE = "1970-01-01T00:00:00Z"
@@ -38,12 +42,16 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n"
 
 
+def digest(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     name = "null" if page_id is None else page_id
     head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{name}>"), ("WARC-Date", DATE)]
     if url is not None:
         head.append(("WARC-Target-URI", "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)))
-    head.append(("WARC-Payload-Digest", "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()))
+    head.append(("WARC-Payload-Digest", "sha1:" + digest(payload)))
     if refers_to is not None:
         head += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", PROFILE)]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
@@ -58,21 +66,24 @@ def fields(head: bytes) -> dict[str, str]:
 
 
 def parse(data: bytes) -> dict:
-    """What a record says, with the payload of a response."""
+    """What a record says, with the payload of a response, which must have the digest and the length that it says."""
     head, rest = data.split(b"\r\n\r\n", 1)
     h = fields(head)
     block = rest[: int(h["Content-Length"])]
     http, payload = block.split(b"\r\n\r\n", 1)
     name = h["WARC-Record-ID"][len("<urn:page:") : -1]
     target = h.get("WARC-Refers-To")
+    said, size, response = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields(http)["Content-Length"]), h["WARC-Type"] == "response"
+    if response and (len(payload) != size or digest(payload) != said):
+        raise ValueError(f"the payload of {h['WARC-Record-ID']} is not the one that was written")
     return {
         "page_id": None if name == "null" else int(name),
         "url": h.get("WARC-Target-URI"),
-        "payload_bytes": int(fields(http)["Content-Length"]),
-        "payload_digest": h["WARC-Payload-Digest"].removeprefix("sha1:"),
+        "payload_bytes": size,
+        "payload_digest": said,
         "record_type": h["WARC-Type"],
         "refers_to": int(target[len("<urn:page:") : -1]) if target else None,
-        "payload": payload if h["WARC-Type"] == "response" else None,
+        "payload": payload if response else None,
     }
 
 
@@ -121,7 +132,7 @@ def write(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> Da
     ready = rows.join(last, "h")
     refers = F.when((F.col("n") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
     ready = ready.select("page_id", "url", "html", refers.alias("refers_to"))
-    sample = bounded_sample(rows.withColumn("one", F.lit(1)), "one", SAMPLE, 10, "page_id").select("page_id", "url", "html").orderBy("page_id", "url").limit(SAMPLE)
+    sample = bounded_sample(rows.withColumn("one", F.lit(1)), "one", SAMPLE, 10, "page_id", ("url", "html")).orderBy("page_id")
     d = dictionary([record(r["page_id"], r["url"], r["html"].encode("utf-8", "replace"), None) for r in sample.collect()])
     shared = spark.sparkContext.broadcast(d)  # DICTIONARY_BYTES at most
 
@@ -151,25 +162,24 @@ def write(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> Da
 def read(archives: DataFrame) -> DataFrame:
     """A row for each record of the archives at `path`: page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload."""
 
-    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
     n = max(1, archives.count())
+    kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "url": pa.string(), "payload": pa.binary()}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for p in b["path"]:
+            for p in b.column(0).to_pylist():
                 where, path = opened(p)
                 with where.open_input_stream(path, compression=None) as stream:
-                    held = []
+                    held, size = [], 0
                     for data in read_records(stream):
                         held.append(parse(data))
-                        if len(held) >= 500:
-                            yield frame(held)
-                            held = []
-                    yield frame(held)
-
-    def frame(held: list[dict]) -> pd.DataFrame:
-        out = pd.DataFrame(held, columns=names)
-        return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
+                        size += len(data)
+                        if len(held) >= 500 or size >= BATCH_BYTES:
+                            yield batch(held)
+                            held, size = [], 0
+                    yield batch(held)
 
+    def batch(held: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], kind) for k, kind in kinds.items()], names=list(kinds))
 
-    return archives.select("path").repartition(n).mapInPandas(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    return archives.select("path").repartition(n).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
