@@ -1,31 +1,33 @@
 """Similarity join on the Jaccard index of word n-grams, with Bayesian pruning of candidates.
 
 1. Texts of equal words are one node of the join, so copies cost nothing later.
-2. MinHash values in BANDS bands of ROWS put nodes into buckets. Each node of a bucket is tied to the bucket's
-   smallest id, and the connected components of those ties are families: every pair that shares a bucket is in one.
-3. A family is compared in cells of two blocks of about BLOCK nodes. In a cell MinHash values of each pair are
-   compared CHUNK at a time; a pair goes when the posterior probability (uniform prior) that its similarity
-   reaches the threshold falls below TOLERANCE. The sets of word n-grams of all that are left are compared exactly.
+2. MinHash values in BANDS bands of ROWS put nodes into buckets. Nodes of a bucket meet with their signatures (a byte of
+   each MinHash value), which are compared CHUNK at a time; a pair goes when the posterior probability (uniform prior)
+   that its similarity reaches the threshold falls below TOLERANCE. A node is compared with all others of its bucket
+   that don't hang together with it yet, until all that is left hangs together. Only one tie of each node leaves a task.
+3. The connected components of the ties are families. Texts of families meet in cells of two blocks of a family; there
+   each pair is pruned in the same way, and the sets of word n-grams of all that are left are compared exactly.
    A cell gives the links of each node and the smallest node it hangs together with, never the pairs.
 4. Components of those are the classes; links add up over the cells.
 
-A pair at the threshold shares no bucket with probability (1 - 0.8^ROWS)^BANDS, 5e-6; pruning adds about TOLERANCE.
+Nodes that only share a bucket by chance, or by a passage, are pruned before any text moves, so a family is about a class.
+A pair at the threshold shares no bucket with probability (1 - 0.8^ROWS)^BANDS, 5e-6; pruning adds about TOLERANCE at
+each chunk.
 
 Edge cases: words are the runs of characters other than [\\x20\\x09-\\x0D]; a text of 1 to n-1 words has one n-gram,
 all its words; a null, empty or blank text has none, so no link and a class of its own; rows that repeat an id are
-one document; rows with a null id keep null ids and have no links; an empty table gives an empty result.
+one document, which is linked to what any of its texts is linked to; rows with a null id keep null ids and have no
+links; an empty table gives an empty result; columns other than the id and the text are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,7 +38,9 @@ from airgrid.llm.graphs import components
 
 N, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6
-CHUNK, TOLERANCE, BLOCK = 24, 1e-6, 256
+CHUNK, TOLERANCE = 24, 1e-6
+#: Nodes of a bucket's block; nodes and bytes of text of a family's block, about; nodes of a bucket from which they aren't compared all at once.
+TIE_BLOCK, BLOCK, BLOCK_BYTES, SMALL = 20_000, 1024, 1 << 24, 16
 _RANDOM = np.random.default_rng(7)
 _FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,16 +68,21 @@ def hashes(words: list[bytes], n: int = N) -> np.ndarray:
 
 
 def minhash(h: np.ndarray) -> np.ndarray:
-    """BANDS * ROWS values of 32 bits; h is not empty."""
+    """BANDS * ROWS values of 64 bits; h is not empty."""
     out = np.full(len(_FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(h), 512):
         np.minimum(out, (h[i : i + 512, None] * _FACTORS).min(axis=0), out=out)
-    return (out >> np.uint64(32)).astype(np.uint32)
+    return out
+
+
+def signature(values: np.ndarray) -> bytes:
+    """A byte of each value; unequal values have equal bytes once in 256 times."""
+    return mixed(values).astype(np.uint8).tobytes()
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     total = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    for i, column in enumerate(values.reshape(BANDS, ROWS).T.astype(np.uint64)):
+    for i, column in enumerate((values >> np.uint64(32)).reshape(BANDS, ROWS).T):
         total = mixed(total + (column + np.uint64(1)) * _PLACE[i])
     return total.astype(np.int64)
 
@@ -92,73 +101,176 @@ def least_matches(compared: int, threshold: float = THRESHOLD, tolerance: float
     return compared
 
 
+def digest_of(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 def sketches(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(id, digest of the words, band keys; null without words) of each row."""
+    """(id, digest of the words, bytes of the text, band keys and signature; these are null without words) of each row."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            digests, keys = [], []
+            digests, sizes, keys, signatures = [], [], [], []
             for t in b.column(1).to_pylist():
                 words = words_of(t)
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                keys.append(band_keys(minhash(hashes(words, n))) if words else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "digest", "bands"])
-
-    return rows.mapInArrow(run, "id long, digest binary, bands array<long>")
-
-
-def linked(texts: list[list[bytes]], left: np.ndarray, right: np.ndarray, n: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of the pairs (left[i], right[i]) of texts those that reach the threshold, in batches."""
-    sets: dict[int, set] = {}
-
-    def grams(i: int) -> set:
-        if i not in sets:
-            w = texts[i]
-            size = min(n, len(w))
-            sets[i] = {tuple(w[j : j + size]) for j in range(len(w) - size + 1)}
-        return sets[i]
-
-    values = np.zeros((len(texts), BANDS * ROWS), dtype=np.uint32)
-    for i in np.union1d(left, right):
-        values[i] = minhash(hashes(texts[i], n))
-    for k in range(0, len(left), 50_000):
-        a, b = left[k : k + 50_000], right[k : k + 50_000]
-        equal = np.zeros(len(a), dtype=np.int32)
-        for at in range(0, values.shape[1], CHUNK):
-            equal += (values[a, at : at + CHUNK] == values[b, at : at + CHUNK]).sum(axis=1, dtype=np.int32)
-            alive = equal >= least_matches(min(at + CHUNK, values.shape[1]), threshold)
-            a, b, equal = a[alive], b[alive], equal[alive]
-        if not len(a):
+                values = minhash(hashes(words, n)) if words else None
+                digests.append(digest_of(words))
+                sizes.append(len(t or ""))
+                keys.append(band_keys(values) if words else None)
+                signatures.append(signature(values) if words else None)
+            new = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *new], names=["id", "digest", "size", "bands", "signature"])
+
+    return rows.mapInArrow(run, "id long, digest binary, size long, bands array<long>, signature binary")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows that are sorted by their first columns, as tables of whole groups with the place where each group starts."""
+
+    def starts_of(t: pa.Table) -> np.ndarray:
+        new = np.ones(t.num_rows, dtype=bool)
+        if keys and t.num_rows:
+            new[1:] = False
+            for c in t.columns[:keys]:
+                x = c.to_numpy()
+                new[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(new)
+
+    held = None
+    for b in batches:
+        if not b.num_rows:
             continue
-        if len(a) < 3000:
-            both = np.array([len(grams(i) & grams(j)) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
-        else:
-            both = shared(grams, a, b)
-        size = np.array([len(grams(i)) for i in range(len(texts))]) if len(a) > len(texts) else None
-        sizes_a, sizes_b = (size[a], size[b]) if size is not None else (np.array([len(grams(i)) for i in a]), np.array([len(grams(i)) for i in b]))
-        good = both >= threshold * (sizes_a + sizes_b - both) - 1e-9
-        yield a[good], b[good]
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t])
+        starts = starts_of(t)
+        if starts[-1]:
+            yield t.slice(0, int(starts[-1])), starts[:-1]
+        held = t.slice(int(starts[-1]))
+    if held is not None:
+        yield held, np.zeros(1, dtype=np.int64)
+
+
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, BANDS * ROWS)
+
+
+def similar(signatures: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a[i], b[i]) of rows those that pruning leaves. Bytes are equal by chance too, which the threshold for them allows for."""
+    of_bytes = threshold + (1 - threshold) / 256
+    equal = np.zeros(len(a), dtype=np.int32)
+    for at in range(0, signatures.shape[1], CHUNK):
+        if not len(a):
+            break
+        equal += (signatures[a, at : at + CHUNK] == signatures[b, at : at + CHUNK]).sum(axis=1, dtype=np.int32)
+        alive = equal >= least_matches(min(at + CHUNK, signatures.shape[1]), of_bytes)
+        a, b, equal = a[alive], b[alive], equal[alive]
+    return a, b
+
 
+def led(signatures: np.ndarray, side: np.ndarray, across: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs that pruning leaves, enough of them that all such pairs hang together.
 
-def shared(grams, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    A leader is compared with all that don't hang together with it yet, and is done; the next one is a node outside
+    the largest part. Across two blocks only nodes of the other block count. Each pair is compared, or hangs together.
+    """
+    part, open_ = np.arange(len(signatures)), np.ones(len(signatures), dtype=bool)
+    while True:
+        largest = np.bincount(part[open_], minlength=1).argmax()
+        outside = np.flatnonzero(open_ & (part != largest))
+        if not len(outside):
+            return
+        leader = outside[0]
+        others = np.flatnonzero(open_ & (part != part[leader]) & ((side != side[leader]) if across else True))
+        open_[leader] = False
+        a, b = similar(signatures, np.full(len(others), leader), others, threshold)
+        if len(b):
+            yield a, b
+            part[np.isin(part, part[b])] = part[leader]
+
+
+def hung_together(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """(node, smallest node that it hangs together with) by the pairs, of the nodes that aren't the smallest."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    for x, y in np.unique(np.stack([a, b], axis=1), axis=0).tolist() if len(a) else ():
+        x, y = find(x), find(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+    own = [(x, find(x)) for x in root]
+    return [x for x, r in own if x != r], [r for x, r in own if x != r]
+
+
+def ties_of(cells: DataFrame, threshold: float) -> DataFrame:
+    """Ties (a, b) of nodes from cells (bucket, i, j, node, block, signature) that lie together and in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in whole_groups(batches, 3):
+            ids, side, signatures = t["node"].to_numpy(), t["block"].to_numpy(), matrix(t["signature"])
+            across = t["i"].to_numpy() != t["j"].to_numpy()
+            sizes = np.diff(np.append(starts, len(ids)))
+            pairs: list[tuple[np.ndarray, np.ndarray]] = []
+            for m in np.unique(sizes[sizes > 1]).tolist():
+                own = starts[sizes == m]
+                if m <= SMALL:
+                    x, y = np.triu_indices(m, 1)
+                    pairs.append(similar(signatures, (own[:, None] + x).ravel(), (own[:, None] + y).ravel(), threshold))
+                else:
+                    pairs += [(a + s, b + s) for s in own.tolist() for a, b in led(signatures[s : s + m], side[s : s + m], bool(across[s]), threshold)]
+            if pairs:
+                a, b = (ids[np.concatenate(x)] for x in zip(*pairs, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in hung_together(a, b)], names=["a", "b"])
+
+    return cells.mapInArrow(run, "a long, b long")
+
+
+class Grams:
+    """The word n-grams of texts, each gram as a number that stands for it alone."""
+
+    def __init__(self, words: Callable[[int], list[bytes]], n: int):
+        self.words, self.n = words, n
+        self.number: dict[tuple, int] = {}
+        self.known: dict[int, np.ndarray] = {}
+
+    def of(self, i: int) -> np.ndarray:
+        if i not in self.known:
+            w = self.words(i)
+            size = min(self.n, len(w))
+            found = [self.number.setdefault(tuple(w[j : j + size]), len(self.number)) for j in range(len(w) - size + 1)]
+            self.known[i] = np.unique(np.array(found, dtype=np.int64))
+        return self.known[i]
+
+
+def linked(grams: Grams, signatures: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the pairs (left[i], right[i]) of texts those that reach the threshold, in batches: pruned, then compared exactly."""
+    for k in range(0, len(left), 200_000):
+        a, b = similar(signatures, left[k : k + 200_000], right[k : k + 200_000], threshold)
+        if len(a):
+            both = np.array([len(np.intersect1d(grams.of(i), grams.of(j), assume_unique=True)) for i, j in zip(a.tolist(), b.tolist(), strict=True)]) if len(a) < 1000 else shared(grams.of, a, b)
+            sizes = {i: len(grams.of(i)) for i in np.union1d(a, b).tolist()}
+            together = np.array([sizes[i] + sizes[j] for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+            good = both >= threshold * (together - both) - 1e-9
+            yield a[good], b[good]
+
+
+def shared(grams: Callable[[int], np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Common n-grams of many pairs at once: products of incidence matrices over n-grams of two texts at least."""
     own = np.union1d(a, b)
-    place = {int(i): k for k, i in enumerate(own)}
-    number: dict[tuple, int] = {}
-    rows, cols = [], []
-    for i in own.tolist():
-        for g in grams(i):
-            rows.append(place[i])
-            cols.append(number.setdefault(g, len(number)))
-    rows, cols = np.array(rows), np.array(cols)
+    sets = [grams(int(i)) for i in own]
+    rows, cols = np.repeat(np.arange(len(own)), [len(x) for x in sets]), np.concatenate(sets)
     often = np.bincount(cols) > 1
     keep = often[cols]
     rows, cols = rows[keep], (np.cumsum(often) - 1)[cols[keep]]
     total = np.zeros((len(own), len(own)), dtype=np.float32)
     order = np.argsort(cols, kind="stable")
     rows, cols = rows[order], cols[order]
-    width = 1 << 14
+    width = 1 << 12
     for start in range(0, int(often.sum()), width):
         lo, hi = np.searchsorted(cols, (start, start + width))
         m = np.zeros((len(own), width), dtype=np.float32)
@@ -168,38 +280,57 @@ def shared(grams, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total[at].astype(np.int64)
 
 
-def cell_links(ids: list[int], blocks: list[int], texts: list[str], across: bool, n: int, threshold: float) -> Iterator[tuple[int, int, int]]:
+def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures: np.ndarray, across: bool, n: int, threshold: float) -> Iterator[tuple[int, int, int]]:
     """(id, smallest id that it hangs together with here, links here) of the nodes of a cell.
 
     The pairs are those within the cell's block, or those across its two blocks (none if one of them is empty).
     """
-    words = [words_of(t) for t in texts]
+    grams = Grams(lambda i: words_of(texts[i]), n)
     block = np.array(blocks)
     if across:
         left, right = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == block.min()), np.flatnonzero(block > block.min())))
     else:
         left, right = np.triu_indices(len(ids), 1)
-    root = list(range(len(ids)))
-    links = np.zeros(len(ids), dtype=np.int64)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for a, b in linked(words, left, right, n, threshold):
+    key, links = np.array(ids), np.zeros(len(ids), dtype=np.int64)
+    tied = []
+    for a, b in linked(grams, signatures, left, right, threshold):
         links += np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            x, y = find(x), find(y)
-            if x != y:
-                low, high = (x, y) if ids[x] < ids[y] else (y, x)
-                root[high] = low
-    for i, key in enumerate(ids):
-        yield key, ids[find(i)], int(links[i])
+        tied.append((key[a], key[b]))
+    root = dict(zip(*hung_together(*(np.concatenate(x) for x in zip(*tied, strict=True))), strict=True)) if tied else {}
+    for i, own in zip(ids, links.tolist(), strict=True):
+        yield i, root.get(i, i), own
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(component, k, id, root, links) from cells (component, i, j, k, id, block, digest, signature, t) that lie together and in order."""
+    kinds = {"component": pa.int64(), "k": pa.int32(), "id": pa.int64(), "root": pa.int64(), "links": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in whole_groups(batches, 3):
+            out: list[tuple] = []
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
+                g = t.slice(start, end - start).to_pydict()
+                # A row that repeats a node's id with another text isn't the node.
+                own = [x for x in range(end - start) if digest_of(words_of(g["t"][x])) == g["digest"][x]]
+                pick = lambda c: [g[c][x] for x in own]  # noqa: B023, E731
+                if own:
+                    signatures = np.frombuffer(b"".join(pick("signature")), dtype=np.uint8).reshape(len(own), -1)
+                    found = cell_links(pick("id"), pick("block"), pick("t"), signatures, g["i"][0] != g["j"][0], n, threshold)
+                    out += [(g["component"][0], g["k"][0], *x) for x in found]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+    return cells.mapInArrow(run, "component long, k int, id long, root long, links long")
+
+
+def dealt(rows: DataFrame, group: str) -> DataFrame:
+    """Each row of a group of k blocks in the k cells (i, j) of its block, each cell lying together and in order."""
+    cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    cells = cells.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    return cells.select(group, "i", "j", *(c for c in rows.columns if c != group)).repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, block: int = BLOCK, tie_block: int = TIE_BLOCK) -> DataFrame:
     """(key, class_id, n_links, n_copies) of each row of docs.
 
     class_id is the smallest id of the class; n_links counts the other distinct texts that reach the threshold,
@@ -208,36 +339,24 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, t
     sketch = cut(sketches(docs, key, text, n))
     nodes = sketch.where("id is not null and bands is not null").groupBy("digest").agg(F.min("id").alias("node"), F.countDistinct("id").alias("n_copies"))
     nodes = cut(nodes)
-    own = sketch.where("bands is not null").join(nodes, (sketch["digest"] == nodes["digest"]) & (sketch["id"] == nodes["node"])).select("node", "bands").dropDuplicates(["node"])
+    named = nodes.select(F.col("digest").alias("of"), "node")
+    own = sketch.where("bands is not null").join(named, (F.col("digest") == F.col("of")) & (F.col("id") == F.col("node"))).select("node", "digest", "size", "bands", "signature").dropDuplicates(["digest"])
+    own = cut(own)
     buckets = own.select(F.explode("bands").alias("bucket"), "node")
-    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    ties = buckets.join(hubs, "bucket").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    families = components(ties)
-    size = families.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
-    members = families.join(size, "component").select("id", "component", F.ceil(F.col("m") / block).cast("int").alias("k"))
-    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    often = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    blocks = lambda k, *seed: F.pmod(F.xxhash64(*seed), k).cast("int")
+    shared_by = buckets.join(often, "bucket").select("bucket", "node", F.ceil(F.col("c") / tie_block).cast("int").alias("k")).withColumn("block", blocks(F.col("k"), "node", "bucket"))
+    met = shared_by.join(own.select("node", "signature"), "node").select("bucket", "k", "node", "block", "signature")
+    families = components(ties_of(dealt(met, "bucket"), threshold))
+    families = families.select(F.col("id").alias("node"), "component").join(own.drop("bands"), "node")
+    size = families.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("bytes"))
+    members = families.join(size, "component").withColumn("k", F.ceil(F.greatest(F.col("m") / block, F.col("bytes") / BLOCK_BYTES)).cast("int")).withColumn("k", F.least("k", "m").cast("int"))
+    members = members.select(F.col("node").alias("id"), "component", "k", blocks(F.col("k"), F.col("node")).alias("block"), "digest", "signature")
     # Only texts of families travel on, each once before the cells are dealt.
     texts = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("id is not null")
-    whole = members.join(texts, "id").dropDuplicates(["id"])
-    cells = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    cells = cells.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "k", "id", "block", "t")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                yield from b.itertuples(index=False, name=None)
-
-        out: list[tuple] = []
-        for (component, i, j, k), group in itertools.groupby(rows(), key=lambda r: r[:4]):
-            own = list(group)
-            out += [(component, k, *x) for x in cell_links([r[4] for r in own], [r[5] for r in own], [r[6] for r in own], i != j, n, threshold)]
-            if len(out) > 10_000:
-                yield pd.DataFrame(out, columns=["component", "k", "id", "root", "links"])
-                out = []
-        yield pd.DataFrame(out, columns=["component", "k", "id", "root", "links"])
-
-    found = cut(cells.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInPandas(run, "component long, k int, id long, root long, links long"))
-    links = found.groupBy("id").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"), F.max("k").alias("k"))
+    whole = members.join(texts, "id").dropDuplicates(["id", "digest", "t"]).select("component", "k", "id", "block", "digest", "signature", "t")
+    found = cut(links_of(dealt(whole, "component"), n, threshold))
+    links = found.groupBy("id").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"))
     wide = found.where("k > 1 and id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     if not wide.isEmpty():  # families of several cells: their parts are put together
         links = links.join(components(wide).withColumnRenamed("component", "joined"), "id", "left").withColumn("root", F.coalesce("joined", "root"))

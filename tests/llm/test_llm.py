@@ -344,8 +344,9 @@ def brute_join(texts):
     return {i: (label[i], n[i], max(1, sum(words[i] == w for w in words)) if words[i] else 1) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize("block", [2, 7, 256])
-def test_ngram_join(spark, block):
+@pytest.mark.parametrize("block,tie_block,small", [(2, 3, 1), (7, 5, 2), (256, 20_000, 16)])
+def test_ngram_join(spark, monkeypatch, block, tie_block, small):
+    monkeypatch.setattr(ngram_join, "SMALL", small)
     r = random.Random(8)
     texts = list(ODD)
     for k in range(6):
@@ -355,7 +356,7 @@ def test_ngram_join(spark, block):
             for _ in range(r.randrange(0, 9)):
                 w[r.randrange(len(w))] = r.choice(WORDS)
             texts.append(" ".join(w))
-    got = {x["doc_id"]: (x["class_id"], x["n_links"], x["n_copies"]) for x in ngram_join.join(docs(spark, texts, extra=True), block=block).collect()}
+    got = {x["doc_id"]: (x["class_id"], x["n_links"], x["n_copies"]) for x in ngram_join.join(docs(spark, texts, extra=True), block=block, tie_block=tie_block).collect()}
     assert got == brute_join(texts)
 
 
@@ -366,6 +367,34 @@ def test_ngram_join_odd(spark):
     assert ngram_join.join(df.limit(0)).count() == 0
 
 
+def test_ngram_join_repeated_ids(spark):
+    """An id with two texts is linked by either of them; the other rows of its id don't stand for the text."""
+    a, b = prose(1, 60), prose(2, 60)
+    near = lambda t: t.replace(" ", " x ", 1)
+    df = spark.createDataFrame([(3, a), (5, a), (5, b), (5, b), (7, near(b)), (8, near(a))], "doc_id long, text string")
+    got = sorted((x["doc_id"], x["class_id"], x["n_links"]) for x in ngram_join.join(df.repartition(3)).collect())
+    assert got == [(3, 3, 1), (5, 3, 1), (5, 5, 1), (5, 5, 1), (7, 5, 1), (8, 3, 1)]
+
+
+def test_led_leaves_all_connected():
+    """Against all pairs: the same connected parts, with fewer comparisons."""
+    r = np.random.default_rng(3)
+    bases = r.integers(0, 256, (5, ngram_join.BANDS * ngram_join.ROWS), dtype=np.uint8)
+    rows = bases[r.integers(0, 5, 120)].copy()
+    for row in rows:
+        at = r.integers(0, rows.shape[1], r.integers(0, 30))
+        row[at] = r.integers(0, 256, len(at))
+    side = np.arange(120) % 2
+    for across in (False, True):
+        x, y = np.triu_indices(120, 1)
+        if across:
+            x, y = x[side[x] != side[y]], y[side[x] != side[y]]
+        want = dict(zip(*ngram_join.hung_together(*ngram_join.similar(rows, x, y, 0.8)), strict=True))
+        pairs = list(ngram_join.led(rows, side, across, 0.8))
+        got = dict(zip(*ngram_join.hung_together(*(np.concatenate(z) for z in zip(*pairs, strict=True))), strict=True))
+        assert got == want and len(set(want.values())) == 5
+
+
 def test_pruning_keeps_what_may_match():
     from math import comb
 
@@ -376,10 +405,10 @@ def test_pruning_keeps_what_may_match():
 
 
 def test_shared_counts():
-    sets = [set(random.Random(i).sample([(x,) for x in range(60)], 25)) for i in range(90)]
+    sets = [np.array(sorted(random.Random(i).sample(range(60), 25))) for i in range(90)]
     a, b = np.triu_indices(90, 1)
     got = ngram_join.shared(lambda i: sets[i], a, b)
-    assert got.tolist() == [len(sets[i] & sets[j]) for i, j in zip(a, b, strict=True)]
+    assert got.tolist() == [len(set(sets[i]) & set(sets[j])) for i, j in zip(a, b, strict=True)]
 
 
 def test_components(spark):
