@@ -9,8 +9,8 @@ All three group by the text as well as by its digest, so two texts of one digest
 their class by digest, and where one digest has several texts by digest and text.
 
 Edge cases: null counts as the empty text; of equal texts the row with the most code points before normalising
-stays, then the smallest id (null ids last); rows that repeat an id with an equally
-long equal text count as one document, so each of them is `kept` if that document is; an empty table gives an empty result; other columns don't matter.
+stays, then the smallest id (null ids last); of rows that repeat that id with an equally long equal text one is
+`kept`; an empty table gives an empty result; other columns, whatever their names, don't matter.
 """
 
 from __future__ import annotations
@@ -55,8 +55,26 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", column
     own = [F.col(c).alias(f"own_{i}") for i, c in enumerate(columns)]
     rows = docs.select(*own, F.col(key).cast("long").alias("k"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("n"), normalised(F.col(text)).alias("own_norm"))
     rows = rows.withColumn("digest", digest_of(F.col("own_norm")))
-    single = rows.drop("own_norm").join(found.where("texts = 1").drop("norm"), "digest")
+    best = F.col("k").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))
+    out = rows.drop("own_norm").join(found.where("texts = 1").drop("norm"), "digest").withColumn("kept", best).withColumn("norm", F.lit(None).cast("string"))
     if not found.where("texts > 1").isEmpty():  # a digest of several texts: those rows are matched by their text too
-        single = single.unionByName(rows.join(found.where("texts > 1"), (rows["digest"] == found["digest"]) & (rows["own_norm"] == found["norm"])).drop("own_norm", "norm").drop(found["digest"]))
-    kept = F.col("k").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))
-    return single.select(*(F.col(f"own_{i}").alias(c) for i, c in enumerate(columns)), "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"))
+        several = rows.join(found.where("texts > 1"), (rows["digest"] == found["digest"]) & (rows["own_norm"] == found["norm"])).drop(found["digest"]).drop("own_norm")
+        out = out.unionByName(several.withColumn("kept", best))
+    repeated = cut(docs.groupBy(F.col(key).cast("long").alias("k")).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("k"))
+    if not repeated.isEmpty():  # one row stays of those that are best in everything
+        tie = repeated.withColumnRenamed("k", "again")
+        same = F.col("k").eqNullSafe(F.col("again"))
+        out = out.join(tie, same & F.col("kept"), "left_anti").unionByName(one_kept(out.where("kept").join(tie, same, "left_semi")))
+    return out.select(*(F.col(f"own_{i}").alias(c) for i, c in enumerate(columns)), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def one_kept(rows: DataFrame) -> DataFrame:
+    """rows with `kept` left true for one row of each id and text.
+
+    Rows that are equal in every column become one with a count, before they meet, so a row that is there very often is no hot group.
+    """
+    columns = [c for c in rows.columns if c != "kept"]
+    variants = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("times"))
+    first = F.row_number().over(Window.partitionBy("digest", "norm", "k").orderBy(*(F.col(c) for c in columns if c.startswith("own_")))) == 1
+    each = variants.withColumn("first", first).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return each.select(*columns, (F.col("first") & (F.col("i") == 1)).alias("kept"))

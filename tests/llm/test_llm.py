@@ -97,7 +97,23 @@ def test_exact_dedup(spark, collide):
 def test_exact_dedup_odd_ids(spark):
     df = spark.createDataFrame([(None, "x"), (5, "x"), (5, "x"), (None, "y")], "doc_id long, text string")
     got = sorted(map(str, exact_dedup.deduplicate(df).select("doc_id", "keep_id", "group_size", "kept").collect()))
-    assert len(got) == 4 and sum("kept=True" in x for x in got) == 3
+    assert len(got) == 4 and sum("kept=True" in x for x in got) == 2
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_exact_dedup_repeated_rows(spark, collide):
+    """Of rows that repeat an id and a text one is kept, whatever else they hold; the others count."""
+    digest = (lambda c: F.length(c).cast("string")) if collide else exact_dedup.sha256
+    rows = [(5, "a b", "x")] * 40 + [(5, "a b", "y"), (5, "ab", "z"), (6, "a b", "x"), (None, "q", "n"), (None, "q", "m"), (7, "zz", "x"), (7, "yy", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = exact_dedup.deduplicate(df, columns=("doc_id", "text", "source"), digest_of=digest).collect()
+    assert sorted((str(r["doc_id"]), r["text"], r["source"]) for r in got) == sorted((str(i), t, s) for i, t, s in rows)
+    kept = sorted((str(r["doc_id"]), r["text"], r["group_size"], r["keep_id"]) for r in got if r["kept"])
+    assert kept == [("5", "a b", 43, 5), ("7", "yy", 1, 7), ("7", "zz", 1, 7), ("None", "q", 2, None)]
+
+
+def test_exact_dedup_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
     assert exact_dedup.deduplicate(df.limit(0)).count() == 0
 
 

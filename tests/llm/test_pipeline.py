@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_llm import DOCS, brute_dedup, brute_join, brute_signals
 from test_llm import prose as numbered
 
@@ -93,3 +94,24 @@ def test_run(spark, stages):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_odd_input(spark, tmp_path):
+    """Extra columns with the operators' own names, repeated rows, null ids and sources: each stage keeps its columns, and one row of each repeat."""
+    long = prose(1, 80)
+    rows = [(1, long, "en", "a", 5), (1, long, "en", "a", 5), (1, long, "en", "a", 5), (2, prose(2, 90), None, None, None), (None, prose(3, 70), "en", "b", 1), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    extra = ("n_words", "n_symbols", "kept", "base_failed", "size", "target", "laps", "class_id", "k", "n", "digest", "norm", "q_size", "q_t", "own_0", "id", "t", "rows")
+    wide = df.withColumns({c: F.lit("x") for c in extra}).repartition(2)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, str(tmp_path))
+        assert tuple(out.columns) == corpus_pipeline.COLUMNS
+        ids = [r["doc_id"] for r in out.collect()]
+        assert 2 in ids and None in ids
+        if name in ("exact_duplicates", "near_duplicates"):
+            assert ids.count(1) == 1
+        if name == "quality":
+            assert ids.count(1) == 3
+        assert stage(spark, wide.limit(0), str(tmp_path)).count() == 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, wide, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in packed} == {1, 2, None} and sum(r["start"] == 0 for r in packed) == 6
