@@ -2,9 +2,10 @@
 
 The kernel of two spans is the cosine of their gap-weighted counts of common subsequences of 3 and 4 characters,
 each DECAY to the power of the length it stretches over, so characters that are left out or put in between weaken
-a match and don't break it. A span is a token between blanks, folded to BASE symbols with marks for its two ends;
-long tokens give overlapping windows, and single characters set apart by up to three separators are joined to a span of
-their own. No other span runs over blanks, so words broken in pieces and phrases of harmless words are not seen whole.
+a match and don't break it. The spans of a sentence are its tokens, folded to BASE symbols with marks for the two
+ends, and pairs of neighbours of up to PIECE characters with the blank as a symbol, so that words broken in pieces are
+seen whole; long tokens give overlapping windows, and single characters set apart by up to three separators are joined
+to a span of their own. No other span runs over blanks, so a phrase of longer harmless words is not seen as one.
 
 Training (on the driver, on a bounded sample of labelled documents): a sentence has its document's label, and a
 sentence of a toxic document is represented by the span that looks most toxic, a multiple-instance choice that is
@@ -26,7 +27,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,10 @@ from airgrid.llm.common import bounded_sample
 MAX_DOCS, LANDMARKS, SPAN = 1000, 80, 18
 DECAY, SIZES, GAPS = 0.6, (3, 4), (3, 2)
 THRESHOLD = 0.3
+#: Characters of neighbouring tokens that are seen as one span too, at most.
+PIECE = 4
+#: Spans whose scores a worker remembers at most.
+REMEMBERED = 400_000
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 #: Single letters with one to three separators between them.
 SPACED = re.compile(r"(?<!\S)\w(?:[ ._*\-]{1,3}\w){2,}(?!\S)")
@@ -134,7 +139,12 @@ def kernel(spans: list[str], landmarks: list[str]) -> np.ndarray:
 
 
 def spans_of(text: str) -> set[str]:
-    tokens = set(text.split())
+    """The tokens of a text, pairs of short neighbours in a sentence, letters that stand apart as one token, and windows of long tokens."""
+    tokens: set[str] = set()
+    for line in text.split("\n"):
+        own = line.split()
+        tokens.update(own)
+        tokens.update([f"{a} {b}" for a, b in zip(own, own[1:], strict=False) if len(a) <= PIECE and len(b) <= PIECE and a[-1] not in ".!?"])
     if SPACED.search(text):
         tokens.update(re.sub(r"[\W_]", "", m) for m in SPACED.findall(text))
     long = [t for t in tokens if len(t) > SPAN]
@@ -150,6 +160,7 @@ class Model:
     bias: float
     slope: float  # of the probability, over the score of a text
     shift: float
+    known: dict[str, float] = field(default_factory=dict)  # scores of spans, for a while
 
     def raw(self, spans: list[str]) -> np.ndarray:
         out = np.zeros(len(spans), dtype=np.float64)
@@ -168,11 +179,22 @@ class Model:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         floor = self.bias - 1
         each = [spans_of(t.lower()) if t else set() for t in texts]
-        spans = list(set().union(*each))
-        known = dict(zip(spans, self.raw(spans).tolist(), strict=True))
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list(set().union(*each).difference(known))
+        known.update(zip(new, self.raw(new).tolist(), strict=True))
         return self.probability(np.array([max((known[s] for s in own), default=floor) for own in each], dtype=np.float64))
 
 
+def folded(landmarks: list[str], alpha: np.ndarray) -> np.ndarray:
+    """A weight for each subsequence: the machine alpha over kernels with landmarks, as one table."""
+    table = np.zeros(CODES, dtype=np.float32)
+    for a, (u, v) in zip(alpha, features(landmarks), strict=True):
+        table[u] += (a * v).astype(np.float32)
+    return table
+
+
 def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 20.0) -> tuple[np.ndarray, float]:
     """Linear support vector machine of squared hinge loss, by Newton steps; y is -1 or 1."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
@@ -251,10 +273,7 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 3, landmarks: int = LA
         weight = np.concatenate([np.sqrt(share) / np.sqrt(share).mean(), np.full(len(near), 1.0)])
         w, bias = machine(x, y, weight)
         alpha = root @ w
-        table = np.zeros(CODES, dtype=np.float32)
-        for a, (u, v) in zip(alpha, features(marks), strict=True):
-            table[u] += (a * v).astype(np.float32)
-        model = Model(table, bias, 1.0, 0.0)
+        model = Model(folded(marks, alpha), bias, 1.0, 0.0)
         spans = sorted(set(in_bad) | set(in_good))
         known = dict(zip(spans, model.raw(spans).tolist(), strict=True))
         if turn + 1 < rounds:
