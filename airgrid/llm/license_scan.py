@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from airgrid.llm.common import cut
 
-THRESHOLD = 0.6
+#: Cosine from which a template counts; tasks that the files of one directory are dealt to.
+THRESHOLD, SALTS = 0.6, 16
 #: Short notices of public licences, as headers give them.
 TEMPLATES = {
     "Apache-2.0": [
@@ -192,7 +193,10 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", key: str = "d
     ups = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.when(i == 0, F.lit("")).otherwise(F.concat_ws("/", F.slice(parts, F.lit(1), i))).alias("dir")))
     above = dirs.select("of", F.explode(ups).alias("u")).select("of", "u.depth", "u.dir").join(by_dir, "dir")
     nearest = above.groupBy("of").agg(F.max_by("dir_license", "depth").alias("inherited"))
-    out = joined.withColumn("of", F.when(F.col("p").isNotNull(), directory(F.col("p")))).join(nearest, "of", "left")
+    # A directory's files are dealt to SALTS tasks, each with its own row of the directory.
+    nearest = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    files_of = joined.withColumn("of", F.when(F.col("p").isNotNull(), directory(F.col("p")))).withColumn("salt", F.pmod(F.xxhash64("k", "p"), F.lit(SALTS)).cast("int"))
+    out = files_of.join(nearest, ["of", "salt"], "left")
     return out.select(
         F.col("k").alias(key),
         F.col("p").alias("path"),
