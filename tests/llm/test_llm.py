@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from airgrid.llm.common import bounded_sample
 from airgrid.llm import exact_dedup, graphs, html_extraction, language_id, license_scan, mixing, ngram_join, packing, quality_rules, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -315,13 +316,45 @@ def test_toxicity(spark):
     model = toxicity.learn(df.where("doc_id < 160").select("doc_id", "text"), df.select("doc_id", "toxic"))
     got = toxicity.score(df.where("doc_id >= 160"), model, keep=("doc_id", "toxic")).collect()
     assert sum((x["score"] >= 0.3) == (x["toxic"] == 1) for x in got) >= 0.97 * len(got)
-    gapped = toxicity.score(docs(spark, ["you i-d-i-o-t", "an idiiot", "a m o r o n here", "quite harmless alpha1", *ODD], extra=True), model).orderBy("doc_id").collect()
-    assert [x["predicted"] for x in gapped[:4]] == [1, 1, 1, 0] and all(0 <= x["score"] <= 1 for x in gapped)
+    gapped = toxicity.score(docs(spark, ["you i-d-i-o-t", "an idiiot", "a m o r o n here", "quite harmless alpha1", "you id iot there", *ODD], extra=True), model).orderBy("doc_id").collect()
+    assert [x["predicted"] for x in gapped[:4]] == [1, 1, 1, 0] and gapped[4]["predicted"] == 1 and all(0 <= x["score"] <= 1 for x in gapped)
     assert {x["score"] for x in toxicity.score(docs(spark, ["idiot"]), None).collect()} == {0.0}
     assert toxicity.score(docs(spark, []).limit(0), model).count() == 0
     assert toxicity.fit(["a"], [0]) is None
 
 
+def test_folded_table_is_the_machine():
+    """Scores from the table against the machine itself: kernels with the landmarks, times its weights."""
+    r = np.random.default_rng(6)
+    marks = ["idiot", "moron", "alpha", "gamma1", "nu xi", "stupid"]
+    alpha = r.normal(size=len(marks))
+    spans = ["idiot", "id iot", "i-d-i-o-t", "mooron", "alpha", "gamma2", "unrelated", "x", "stupidity", "été", *marks]
+    model = toxicity.Model(toxicity.folded(marks, alpha), -0.5, 1.0, 0.0)
+    explicit = toxicity.kernel(spans, marks) @ alpha - 0.5
+    got = model.raw(spans)
+    above = explicit > -0.5 + 1e-4  # others only need to stay below that
+    assert above.any() and got[above] == pytest.approx(explicit[above], abs=1e-4) and (got[~above] <= -0.5 + 1e-4).all()
+
+
+def test_toxicity_repeated_ids(spark, monkeypatch):
+    """What reaches the driver is bounded by documents, not by rows that repeat their ids."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.extend(texts))
+    df = spark.createDataFrame([(i % 7, f"text {i}") for i in range(4000)], "doc_id long, text string")
+    toxicity.learn(df, df.select("doc_id", (F.col("doc_id") % 2).alias("toxic")), max_docs=3)
+    assert len(seen) == 6
+    d = language_id.learn(df.withColumn("lang", F.lit("en")), max_docs=5)
+    assert d["en"].count(b"text") == 5
+
+
+def test_bounded_sample(spark):
+    df = spark.createDataFrame([(i, "a" if i % 10 else "b", f"t{i}") for i in range(5000)], "doc_id long, k string, text string")
+    got = bounded_sample(df, "k", 40, 3, "doc_id", ("text",))
+    assert sorted((r["k"], r["count"]) for r in got.groupBy("k").count().collect()) == [("a", 40), ("b", 40)]
+    assert got.where("text <> concat('t', doc_id)").count() == 0
+    assert sorted(map(str, got.collect())) == sorted(map(str, bounded_sample(df.repartition(5), "k", 40, 3, "doc_id", ("text",)).collect()))
+
+
 def test_toxicity_letters_further_apart():
     for text in ("you s . t . u . p . i . d here", "you s  t  u  p  i  d here", "you s-t-u-p-i-d here"):
         assert "stupid" in toxicity.spans_of(text)
