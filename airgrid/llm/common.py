@@ -13,6 +13,8 @@ from airgrid.shipping import ship
 #: Fixed value: the white space of all contracts, as the characters of [\x20\x09-\x0D].
 WS_CHARS = " \t\n\x0b\f\r"
 WS_CLASS = r"[\x20\x09-\x0D]"
+#: Values of a sample's key up to which their counts are broadcast.
+MAX_KEYS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +67,9 @@ def bounded_sample(df: DataFrame, key: str, per_key: int, seed: int, order_by: s
     partial aggregation and are one row, the smallest by columns.
     """
     h = F.xxhash64(F.lit(seed), F.col(order_by))
-    n = df.groupBy(key).agg(F.approx_count_distinct(order_by).alias("__ids"))
-    near = df.select(key, order_by, *columns).join(n.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key")))
+    n = cut(df.groupBy(F.col(key).alias("__key")).agg(F.approx_count_distinct(order_by).alias("__ids")))
+    n = F.broadcast(n) if n.count() <= MAX_KEYS else n
+    near = df.select(key, order_by, *columns).join(n, F.col(key).eqNullSafe(F.col("__key")))
     near = near.where(h / 2.0**64 + 0.5 <= (2.0 * per_key + 100) / F.greatest(F.col("__ids"), F.lit(1)))
     one = near.groupBy(key, order_by).agg(F.min(F.struct(*columns) if columns else F.lit(0)).alias("__row"))
     ranked = one.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(h, order_by))).where(F.col("__rank") <= per_key)
