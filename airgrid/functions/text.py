@@ -66,8 +66,10 @@ def split_entries(flat: Column) -> Column:
 def find_genre(c: Column) -> Column:
     """struct<keyword, genre> of the first keyword; null where there is none."""
     keyword = F.regexp_extract(c, GENRE, 1)
-    genre = F.coalesce(*[F.when(F.lower(keyword) == k.lower(), F.lit(g)) for k, g in GENRES.items()])
-    return F.when(keyword != "", F.struct(keyword.alias("keyword"), genre.alias("genre")))
+    named = F.create_map(*(F.lit(x) for k, g in GENRES.items() for x in (k.lower(), g)))
+    # The one-element array holds the match, so that its pattern is tried once.
+    found = F.transform(F.array(keyword), lambda k: F.when(k != "", F.struct(k.alias("keyword"), F.try_element_at(named, F.lower(k)).alias("genre"))))
+    return F.get(found, 0)
 
 
 def clean_fragment(c: Column) -> Column:

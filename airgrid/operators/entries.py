@@ -99,6 +99,21 @@ def page_statistics(blocks: DataFrame, programmes: DataFrame, page: tuple[str, .
     return b.join(p, list(page), "left").withColumn("programmes", F.coalesce("programmes", F.lit(0)))
 
 
+def channel_statistics(blocks: DataFrame, programmes: DataFrame, channel: tuple[str, ...] = ("page_date", "page_number", "channel")) -> DataFrame:
+    """Per channel of a page: characters, mean confidence, programmes; channels without programmes stay, ignored blocks don't."""
+    own = blocks.where("type = 'channel'").groupBy(*channel).agg(
+        F.sum(F.length(F.coalesce("text", F.lit("")))).alias("characters"),
+        F.avg("confidence").alias("mean_confidence"),
+    )
+    p = programmes.groupBy(*channel).agg(F.count(F.lit(1)).alias("programmes"))
+    return own.join(p, list(channel), "left").withColumn("programmes", F.coalesce("programmes", F.lit(0)))
+
+
+def batch_failures(results: DataFrame) -> DataFrame:
+    """(input_key, reason) of what failed of results(input_key, reason), in the order of the keys."""
+    return results.where("reason is not null").select("input_key", "reason").orderBy("input_key")
+
+
 def batch_summary(results: DataFrame) -> DataFrame:
     """results(input_key, reason): how many succeeded and failed."""
     return results.groupBy(F.when(F.col("reason").isNull(), "succeeded").otherwise("failed").alias("status")).agg(F.count(F.lit(1)).alias("n"))

@@ -93,7 +93,7 @@ def cluster_by_position(candidates: DataFrame, tolerance: float = 30) -> DataFra
     return pages.mapInPandas(run, f"page_id {kind}, pos double, coverage int, points int")
 
 
-def contrast_filter(clusters: DataFrame, profile: DataFrame, columns: DataFrame, window: int = 100, offset: int = 3, density: float = 0.4, contrast: float = 0.15) -> DataFrame:
+def contrast_filter(clusters: DataFrame, profile: DataFrame, columns: DataFrame, window: int = 100, offset: int = 3, density: float = 0.4, contrast: float = 0.15, offset_before: int = 0) -> DataFrame:
     """Clusters seen in nearly all columns, with dense ink after them and less before.
 
     profile (page_id, column_index, pos, ink) of the rows, columns (page_id, column_index, width). Ink is summed up
@@ -107,7 +107,7 @@ def contrast_filter(clusters: DataFrame, profile: DataFrame, columns: DataFrame,
     c = clusters.join(size, "page_id").join(height, "page_id").where(F.col("coverage") >= F.greatest(F.lit(1), F.col("n") - 1))
     y = half_up(F.col("pos"))
     clip = lambda v: F.greatest(F.lit(0), F.least(F.col("height"), v))
-    c = c.withColumns({"a0": clip(y + offset), "a1": clip(y + offset + window), "b0": clip(y - window), "b1": clip(y)})
+    c = c.withColumns({"a0": clip(y + offset), "a1": clip(y + offset + window), "b0": clip(y - offset_before - window), "b1": clip(y - offset_before)})
     for edge in ("a0", "a1", "b0", "b1"):
         at = sums.select("page_id", (F.col("pos") + 1).alias(edge), F.col("upto").alias(f"s_{edge}"))
         c = c.join(at, ["page_id", edge], "left").withColumn(f"s_{edge}", F.coalesce(f"s_{edge}", F.lit(0)))
@@ -150,3 +150,41 @@ def cuts_of_pages(pages: DataFrame, points: DataFrame) -> DataFrame:
     own = points.groupBy("page_id").agg(F.sort_array(F.collect_list(half_up(F.col("pos")).cast("int"))).alias("own"))
     found = fill_missing_cuts(F.coalesce("own", F.array().cast("array<int>")), F.col("height"), F.col("rows"))
     return pages.join(own, "page_id", "left").withColumn("cuts", F.when(F.col("separator") == "even", even_cuts(F.col("height"), F.col("rows"))).otherwise(found)).drop("own")
+
+
+def line_candidates(rows: DataFrame, columns: DataFrame, pages: DataFrame, top: float, bottom: float, ratio: float = 0.85, min_height: int = 2, max_height: int = 20) -> DataFrame:
+    """(page_id, column_index, pos) of the middles of printed lines: runs of rows between the margins with ink over ratio of their column's width."""
+    height = F.col("height")
+    inside = (F.col("pos") >= half_up(height * top)) & (F.col("pos") < height - half_up(height * bottom))
+    known = rows.join(columns.select("page_id", "column_index", "width"), ["page_id", "column_index"]).join(pages.select("page_id", "height"), "page_id")
+    return middles(threshold_runs(known, inside & (F.col("ink") >= ratio * F.col("width")), min_height, max_height))
+
+
+def whitespace_candidates(rows: DataFrame, pages: DataFrame, most: int = 2, min_height: int = 8, margin: int = 50) -> DataFrame:
+    """(page_id, column_index, pos) of the middles of blank runs of rows, those at the top and bottom of the page left out."""
+    runs = threshold_runs(rows, F.col("ink") <= most, min_height).join(pages.select("page_id", "height"), "page_id")
+    return middles(runs.where((F.col("start") > margin) & (F.col("stop") < F.col("height") - margin)))
+
+
+def middles(runs: DataFrame) -> DataFrame:
+    return runs.select("page_id", "column_index", ((F.col("start") + F.col("stop")) / 2).alias("pos"))
+
+
+def whitespace_points(clusters: DataFrame, rows: DataFrame, max_gap: float = 80) -> DataFrame:
+    """(page_id, pos): the top clusters of each page, without those that are near one above."""
+    return merge_nearby_points(top_gap_clusters(clusters, rows), max_gap)
+
+
+def detect_row_cuts(rows: DataFrame, columns: DataFrame, pages: DataFrame, top: float = 0.08, bottom: float = 0.02) -> DataFrame:
+    """pages (page_id, height, rows, separator) with cuts array<int>, by the separator: line, whitespace or even.
+
+    rows is the ink of each row of each column, columns (page_id, column_index, x, width). Printed lines count where a
+    dense band follows them; blank runs where nearly all columns have one. What is missing is filled up.
+    """
+    by = lambda separator: pages.where(F.col("separator") == separator).select("page_id")
+    of = lambda df, separator: df.join(by(separator), "page_id", "left_semi")
+    lines = cluster_by_position(line_candidates(of(rows, "line"), columns, pages, top, bottom))
+    lines = contrast_filter(lines, of(rows, "line"), of(columns, "line"), offset_before=3).select("page_id", half_up(F.col("pos")).alias("pos"))
+    wanted = pages.join(columns.groupBy("page_id").agg(F.count(F.lit(1)).alias("columns")), "page_id").select("page_id", "columns", "rows")
+    blanks = whitespace_points(cluster_by_position(whitespace_candidates(of(rows, "whitespace"), pages)), wanted)
+    return cuts_of_pages(pages, merge_nearby_points(lines).unionByName(blanks))

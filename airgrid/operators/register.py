@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airgrid.storage import cut
+
 #: The register's domains.
 COUNTRIES = ["France", "Belgique", "Suisse", "Luxembourg", "Monaco"]
 FREE = ["Oui", "Non"]
@@ -29,17 +31,23 @@ def validate_register(register: DataFrame) -> DataFrame:
     return register.select("name", F.explode(F.array_compact(F.array(*rules))).alias("v")).select("name", "v.*")
 
 
-def rename_lineage(register: DataFrame, most: int = 64) -> DataFrame:
-    """(name, root, depth): back along predecessors by doubling steps; a name on a cycle, or past `most` steps, is its own root with depth null."""
+def rename_lineage(register: DataFrame) -> DataFrame:
+    """(name, root, depth): back along predecessors; a name on a cycle, or whose predecessors lead into one, is its own root with depth null.
+
+    Each round doubles the step, and is written before the next one joins it with itself. It ends when every name has
+    arrived, or when steps are longer than there are names, so that what is left goes in circles.
+    """
     step = register.select("name", F.nullif(F.col("predecessor"), F.lit("")).alias("up")).dropDuplicates(["name"])
-    names = step.select(F.col("name").alias("n"))
-    jump = step.join(names, F.col("up") == F.col("n"), "left").select("name", F.coalesce("up", "name").alias("root"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth"))
-    hops = 1
-    while hops < most:
-        far = jump.select(F.col("name").alias("mid"), F.col("root").alias("root2"), F.col("depth").alias("depth2"))
-        jump = jump.join(far, (F.col("root") == F.col("mid")) & (F.col("root") != F.col("name")), "left").select("name", F.coalesce("root2", "root").alias("root"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
+    names = step.select(F.col("name").alias("known"))
+    depth = F.when(F.col("up").isNull(), 0).otherwise(1)
+    jump = cut(step.join(names, F.col("up") == F.col("known"), "left").select("name", F.coalesce("up", "name").alias("root"), depth.alias("depth"), F.col("known").isNotNull().alias("under_way")))
+    count, hops = jump.count(), 1
+    while hops <= count and not jump.where("under_way").isEmpty():
+        far = jump.select(F.col("name").alias("mid"), F.col("root").alias("root2"), F.col("depth").alias("depth2"), F.col("under_way").alias("under_way2"))
+        next_ = jump.where("under_way").join(far, F.col("root") == F.col("mid")).select("name", F.col("root2").alias("root"), (F.col("depth") + F.col("depth2")).alias("depth"), F.col("under_way2").alias("under_way"))
+        jump = cut(jump.where("not under_way").unionByName(next_))
         hops *= 2
-    loop = (F.col("depth") >= most) | ((F.col("root") == F.col("name")) & (F.col("depth") > 0))
+    loop = F.col("under_way")
     return jump.select("name", F.when(loop, F.col("name")).otherwise(F.col("root")).alias("root"), F.when(~loop, F.col("depth")).alias("depth"))
 
 

@@ -12,7 +12,8 @@ from airgrid.functions.titles import extract_identifier, parse_facet_label, pars
 from airgrid.operators import catalogue, entries, layout, lineup, profile, register, weekdays
 from airgrid.operators.stages import staged
 from airgrid.plans.registry import query, table
-from airgrid.sources import files, html
+from airgrid.sources import files, html, sinks
+from airgrid.storage import shared_dir
 
 
 def text(c: Column | str) -> Column:
@@ -201,6 +202,115 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.collect_rejects("orders", good, table(spark, sf_dir, "customer"), "c_custkey", "no order")
 
 
+@query("""SELECT 'pending' AS stage, CAST(c_custkey AS VARCHAR) AS input_key, 'no pending order' AS reason FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""")
+def rejects_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    return entries.collect_rejects("pending", good, table(spark, sf_dir, "customer"), "c_custkey", "no pending order")
+
+
+@query("""
+    WITH b AS (SELECT o_custkey AS page, o_orderpriority AS channel, CAST(sum(length(o_orderstatus || 'é')) AS BIGINT) AS characters, avg(o_totalprice) AS mean_confidence FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL),
+    p AS (SELECT o_custkey AS page, o_orderpriority AS channel, count(*) AS programmes FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL)
+    SELECT b.*, coalesce(programmes, 0) AS programmes FROM b LEFT JOIN p USING (page, channel)""")
+def channel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").withColumns({"page": F.col("o_custkey"), "channel": F.col("o_orderpriority")})
+    kind = F.when(F.col("o_orderstatus") == "F", "channel").otherwise("ignored")
+    blocks = o.select("page", "channel", kind.alias("type"), F.concat("o_orderstatus", F.lit("é")).alias("text"), F.col("o_totalprice").alias("confidence"))
+    return entries.channel_statistics(blocks, o.where("o_orderstatus = 'O'"), ("page", "channel"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS input_key, 'pending' AS reason FROM orders WHERE o_orderstatus = 'P'")
+def batch_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reason = F.when(F.col("o_orderstatus") == "P", F.lit("pending"))
+    return entries.batch_failures(table(spark, sf_dir, "orders").select(text("o_orderkey").alias("input_key"), reason.alias("reason")))
+
+
+# Writers and readers: what is written is read back.
+
+
+def read_back(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    return spark.read.csv(path, sep=sep, header=True, escape='"')
+
+
+@query("""
+    SELECT 'F' || o_orderstatus AS slug, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS page_date, o_orderpriority AS "Chaine", '06:35' AS "Heure", o_orderkey || ';' || o_custkey AS "Titre Programme",
+           'dit "' || o_orderpriority || '"' AS "Sous-titre", 'Film' AS "Genre" FROM orders""")
+def listings_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(
+        F.trunc(F.to_date("o_orderdate"), "month").alias("page_date"), F.concat(F.lit("F"), "o_orderstatus").alias("slug"), F.col("o_orderkey").alias("entry_pos"), F.col("o_orderpriority").alias("channel"), F.lit("06:35").alias("start_time"),
+        F.concat(text("o_orderkey"), F.lit(";"), text("o_custkey")).alias("title"), F.concat(F.lit('dit "'), "o_orderpriority", F.lit('"')).alias("subtitle"), F.lit("Film").alias("genre"),
+    )
+    path = shared_dir(spark, "listings")
+    sinks.write_listings(rows, path)
+    return read_back(spark, path, ";").select("slug", text("page_date").alias("page_date"), "Chaine", "Heure", "Titre Programme", "Sous-titre", "Genre")
+
+
+@query("""
+    SELECT 'INA' || o_orderstatus AS source_code, strftime(date_trunc('month', o_orderdate), '%d/%m/%Y') AS "Date", o_orderpriority AS "Chaine", '10:00:00' AS "Heure début", o_orderkey || '|' || o_custkey AS "Titre", 'Id' || o_orderkey AS "Identifiant" FROM orders""")
+def programmes_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = {
+        "source_code": F.concat(F.lit("ina"), F.lower("o_orderstatus")), "channel_url": F.lit("une"), "channel": F.col("o_orderpriority"), "air_date": F.trunc(F.to_date("o_orderdate"), "month"), "start_time": F.lit("10:00:00"), "end_time": F.lit("11:00:00"),
+        "title": F.concat(text("o_orderkey"), F.lit("|"), text("o_custkey")), "subtitle": F.lit("x"), "episode": F.lit("1"), "genre": F.lit("Film"), "identifier": F.concat(F.lit("Id"), text("o_orderkey")), "synopsis": F.lit("s"),
+    }
+    path = shared_dir(spark, "programmes")
+    sinks.write_programmes(table(spark, sf_dir, "orders").select(*(c.alias(k) for k, c in given.items())), path)
+    return read_back(spark, path, "|").select("source_code", "Date", "Chaine", "Heure début", "Titre", "Identifiant")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderpriority AS chaine, CAST(count(*) AS VARCHAR) AS nombre FROM orders GROUP BY ALL")
+def year_counts_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each year is written twice; the second time replaces the first."""
+    counts = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+    path = shared_dir(spark, "year-counts")
+    sinks.append_year_counts(counts.withColumn("n", F.col("n") + 1), path)
+    sinks.append_year_counts(counts, path)
+    return read_back(spark, path, ";").select("year", "chaine", "nombre")
+
+
+@query("""SELECT o_orderpriority AS channel, CAST(o_orderkey AS VARCHAR) AS entry_pos, o_orderpriority || ';"' AS unparsed_tail FROM orders WHERE o_orderkey % 3 <> 0""")
+def unparsed_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tail = F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.concat("o_orderpriority", F.lit(';"')))
+    rows = table(spark, sf_dir, "orders").select(F.trunc(F.to_date("o_orderdate"), "month").alias("page_date"), F.col("o_orderpriority").alias("channel"), F.col("o_orderkey").alias("entry_pos"), F.lit("06:35").alias("start_time"), tail.alias("unparsed_tail"))
+    path = shared_dir(spark, "unparsed")
+    sinks.write_unparsed_segments(rows, path)
+    return read_back(spark, path, ";").select("channel", "entry_pos", "unparsed_tail")
+
+
+@query("""SELECT CAST(1990 + c_nationkey AS VARCHAR) AS annee, c_mktsegment AS categorie, CAST(c_custkey AS VARCHAR) AS canal, c_name AS chaine, '/f/' || c_custkey AS logo FROM customer""")
+def channel_months_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = text("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(text(F.col("c_nationkey") + 1990).alias("year"), F.lpad(text(F.col("c_custkey") % 12 + 1), 2, "0").alias("month"), F.col("c_mktsegment").alias("category"), k.alias("number"), F.col("c_name").alias("channel"), F.concat(F.lit("/f/"), k).alias("logo"))
+    path = shared_dir(spark, "channel-months")
+    sinks.write_channel_months(rows, path)
+    return read_back(spark, path, ",").select(text("annee").alias("annee"), "categorie", "canal", "chaine", "logo")
+
+
+@query("SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS issue_date, CAST(count(*) AS VARCHAR) AS samedi, CAST(max(o_custkey) AS VARCHAR) AS dimanche FROM orders GROUP BY 1")
+def day_index_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("issue_date")).agg(F.count(F.lit(1)).alias("samedi"), F.max("o_custkey").alias("dimanche"))
+    path = shared_dir(spark, "day-index")
+    sinks.write_day_index(rows, path)
+    return read_back(spark, path, ";").select("issue_date", "samedi", "dimanche")
+
+
+@query("""
+    SELECT CAST(l_linenumber AS INT) AS page_number, (CAST(l_orderkey AS BIGINT) * 1000000 + l_partkey) * 1000 + l_linenumber AS seq, '"' || l_returnflag AS text, CAST(l_quantity AS DOUBLE) AS confidence FROM lineitem WHERE l_linenumber <> 2""")
+def ocr_words_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as recognised words; those of another level or without text are left out."""
+    li, n = table(spark, sf_dir, "lineitem"), F.col("l_linenumber")
+    zero = [F.lit(0).alias(c) for c in ("left", "top", "width", "height")]
+    level = F.when(n == 2, F.when(F.col("l_partkey") % 2 == 0, 4).otherwise(5)).otherwise(5)
+    word = F.when((n == 2) & (F.col("l_partkey") % 2 == 1), F.lit(" ")).otherwise(F.concat(F.lit('"'), "l_returnflag"))
+    # block, par, line and word numbers are digits of one number: an order's goes over the first two.
+    rows = li.select(
+        level.alias("level"), n.alias("page_num"), F.col("l_orderkey").alias("block_num"), F.floor(F.col("l_partkey") / 1000).alias("par_num"), (F.col("l_partkey") % 1000).alias("line_num"), n.alias("word_num"), *zero, F.col("l_quantity").alias("conf"), word.alias("text"),
+    )
+    path = shared_dir(spark, "words")
+    rows.write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path, sep="\t", header=True, quote="")
+    return files.read_ocr_words(spark, path).select("page_number", "seq", "text", "confidence")
+
+
 # Layouts
 
 _PERIODS = [("p1", "1995-03-01", "1997-12-31", 0), ("p2", "1997-06-01", "2000-02-28", 1), ("p3", "2000-01-01", "2001-03-31", 2)]
@@ -289,7 +399,13 @@ def grid_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.grid_mismatch(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), s.alias("cells"), F.lit(4).alias("columns"), F.floor(s / 4).cast("int").alias("rows")))
 
 
-@query()
+@query("""
+    WITH RECURSIVE b AS (SELECT l_orderkey AS page_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos, CAST(l_quantity AS INT) % 3 + 1 AS span FROM lineitem),
+    s AS (SELECT DISTINCT page_id, CAST(-1 AS BIGINT) AS pos, list_transform(range(10), lambda x: false) AS taken, CAST(NULL AS BIGINT) AS k, CAST(NULL AS BIGINT) AS n FROM b
+      UNION ALL
+      SELECT page_id, pos, CASE WHEN k IS NULL THEN taken ELSE list_transform(taken, lambda t, i: t OR ((i - 1) % 2 = (k - 1) % 2 AND (i - 1) // 2 >= (k - 1) // 2 AND (i - 1) // 2 < (k - 1) // 2 + n)) END, k, n
+      FROM (SELECT *, least(span, 5 - (k - 1) // 2) AS n FROM (SELECT s.page_id, b.pos, b.span, s.taken, CAST(nullif(list_position(s.taken, false), 0) AS BIGINT) AS k FROM s JOIN b ON b.page_id = s.page_id AND b.pos = s.pos + 1)))
+    SELECT page_id, CAST(pos AS INT) AS block_pos, CAST((k - 1) % 2 * 100 AS INT) AS x, CAST((k - 1) // 2 * 50 AS INT) AS y, CASE WHEN k IS NOT NULL THEN 90 END AS width, CASE WHEN k IS NOT NULL THEN CAST(n * 50 AS INT) END AS height FROM s WHERE pos >= 0""")
 def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = line_layout(spark, sf_dir).withColumnRenamed("page_number", "page_id")
     ids = pages.select("page_id").distinct()
@@ -452,7 +568,14 @@ def fill_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").where("p_size < 100").select("p_partkey", F.array_join(cuts, ",").alias("cuts"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE c AS (SELECT l_orderkey AS page_id, list({'c': l_linenumber, 'p': CAST(CAST(l_shipdate AS DATE) - DATE '1995-01-01' AS DOUBLE)} ORDER BY l_linenumber, l_shipdate) AS pts FROM lineitem GROUP BY 1),
+    s AS (SELECT page_id, pts, 1 AS i, CAST([] AS STRUCT(s DOUBLE, n BIGINT, cols BIGINT[])[]) AS cl FROM c
+      UNION ALL
+      SELECT page_id, pts, i + 1, CASE WHEN k IS NULL THEN list_append(cl, {'s': pts[i].p, 'n': CAST(1 AS BIGINT), 'cols': [CAST(pts[i].c AS BIGINT)]})
+             ELSE list_transform(cl, lambda x, j: CASE WHEN j = k THEN {'s': x.s + pts[i].p, 'n': x.n + 1, 'cols': list_append(x.cols, CAST(pts[i].c AS BIGINT))} ELSE x END) END
+      FROM (SELECT *, nullif(list_position(list_transform(cl, lambda x: abs(x.s / x.n - pts[i].p) <= 30), true), 0) AS k FROM s WHERE i <= len(pts)))
+    SELECT page_id, x.s / x.n AS pos, CAST(len(list_distinct(x.cols)) AS INT) AS coverage, CAST(x.n AS INT) AS points FROM (SELECT page_id, unnest(cl) AS x FROM s WHERE i = len(pts) + 1)""")
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     points = li.select(F.col("l_orderkey").alias("page_id"), F.col("l_linenumber").alias("column_index"), F.datediff(F.to_date("l_shipdate"), F.lit(datetime.date(1995, 1, 1))).alias("pos"))
@@ -468,6 +591,18 @@ def gap_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.top_gap_clusters(c, c.select("page_id", F.lit(4).alias("columns"), F.lit(3).alias("rows")).distinct())
 
 
+@query("""
+    WITH RECURSIVE t AS (SELECT page_id, pos FROM (SELECT l_orderkey AS page_id, CAST(l_partkey AS INT) AS pos, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey) AS r
+           FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM lineitem) WHERE l_linenumber >= 3) WHERE r <= 3),
+    k AS (SELECT page_id, min(pos) AS pos FROM t GROUP BY 1
+      UNION ALL SELECT k.page_id, (SELECT min(t.pos) FROM t WHERE t.page_id = k.page_id AND t.pos > k.pos + 80) FROM k WHERE k.pos IS NOT NULL)
+    SELECT page_id, CAST(pos AS DOUBLE) AS pos FROM k WHERE pos IS NOT NULL""")
+def gap_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber").distinct()
+    c = li.select(F.col("l_orderkey").alias("page_id"), F.col("l_partkey").cast("double").alias("pos"), F.col("l_linenumber").alias("coverage"))
+    return profile.whitespace_points(c, c.select("page_id", F.lit(4).alias("columns"), F.lit(4).alias("rows")).distinct())
+
+
 _AT = "SELECT page_id, pos + 0.0 AS y FROM p WHERE pos % 30 = 0"
 
 

@@ -59,6 +59,13 @@ def filter_date_range(df: DataFrame, column: str, first: str | None, last: str |
     return df.where(F.col(column).between(F.lit(lo), F.lit(hi)))
 
 
+def not_empty(df: DataFrame, message: str) -> DataFrame:
+    """df, or an error if it has no row."""
+    if df.isEmpty():
+        raise ValueError(message)
+    return df
+
+
 def scan_name(name: Column) -> Column:
     """struct<date, page_number> of YYYY-MM-DD-PageN.jpg; null for other names."""
     pattern = r"(?i)^(\d{4}-\d{2}-\d{2})-Page(\d+)\.jpe?g$"
@@ -73,8 +80,9 @@ def _names(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def scan_manifest(spark: SparkSession, directory: str, first: str | None = None, last: str | None = None, year: int = 2001) -> DataFrame:
+    """(date, page_number, path) of the scanned pages of a range of dates, in the order of their names; an error if there is none."""
     df = _names(spark, directory).withColumn("s", scan_name(F.col("name"))).where("s is not null").select("s.*", "path", "name")
-    return filter_date_range(df, "date", first, last, year).orderBy("name").drop("name")
+    return not_empty(filter_date_range(df, "date", first, last, year), f"no page in {directory} between these dates").orderBy("name").drop("name")
 
 
 def issue_manifest(spark: SparkSession, directory: str) -> DataFrame:
@@ -85,7 +93,7 @@ def issue_manifest(spark: SparkSession, directory: str) -> DataFrame:
 def read_ocr_words(spark: SparkSession, path: str) -> DataFrame:
     """Words of recognised pages (level 5, not empty) in reading order."""
     df = spark.read.csv(path, sep="\t", quote="", header=True, schema=WORDS).where("level = 5 and trim(text) <> ''")
-    seq = ((F.col("block_num") * 1000 + F.col("par_num")) * 1000 + F.col("line_num")) * 1000 + F.col("word_num")
+    seq = ((F.col("block_num").cast("long") * 1000 + F.col("par_num")) * 1000 + F.col("line_num")) * 1000 + F.col("word_num")
     return df.select(F.col("_metadata.file_name").alias("file_name"), F.col("page_num").alias("page_number"), seq.cast("long").alias("seq"), "text", F.col("conf").alias("confidence"), "left", "top", "width", "height")
 
 

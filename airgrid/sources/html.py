@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CELL = "struct<text: string, is_header: boolean, link: string, image: string>"
+#: HTML's bounds of spans.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -50,7 +52,15 @@ class Tree(HTMLParser):
 
 
 def text_of(node) -> str:
-    return node if isinstance(node, str) else "".join(map(text_of, node[2]))
+    """The text under a node, in order; nodes wait on a list, so that depth is no limit."""
+    parts, waiting = [], [node]
+    while waiting:
+        x = waiting.pop()
+        if isinstance(x, str):
+            parts.append(x)
+        else:
+            waiting.extend(reversed(x[2]))
+    return "".join(parts)
 
 
 def tidy(text: str) -> str:
@@ -58,11 +68,13 @@ def tidy(text: str) -> str:
 
 
 def walk(node, tag: str | None = None) -> Iterator[tuple]:
-    for x in node[2]:
-        if not isinstance(x, str):
-            if tag is None or x[0] == tag:
-                yield x
-            yield from walk(x, tag)
+    """The nodes under a node, of one tag if named, in the order of the page."""
+    waiting = [x for x in reversed(node[2]) if not isinstance(x, str)]
+    while waiting:
+        x = waiting.pop()
+        if tag is None or x[0] == tag:
+            yield x
+        waiting.extend(y for y in reversed(x[2]) if not isinstance(y, str))
 
 
 def classes(node) -> list[str]:
@@ -70,14 +82,27 @@ def classes(node) -> list[str]:
 
 
 def span(node, name: str) -> int:
+    """A span as HTML bounds it."""
     value = node[1].get(name, "")
-    return int(value) if value.isdigit() and int(value) > 0 else 1
+    return min(int(value[:9]), SPANS[name]) if value.isascii() and value.isdigit() and int(value[:9]) > 0 else 1
+
+
+def own_rows(table) -> list[tuple]:
+    """The rows right under a table or its bodies, not those of tables inside its cells."""
+    out = []
+    for x in table[2]:
+        if not isinstance(x, str):
+            out += [x] if x[0] == "tr" else [y for y in x[2] if not isinstance(y, str) and y[0] == "tr"] if x[0] == "tbody" else []
+    return out
 
 
 def cell_grid(table) -> list[list[dict | None]]:
-    """Rows of cells, each cell in every place that its spans take; a cell starts in the first free place of its row."""
+    """Rows of cells, each cell in every place that its spans take; a cell starts in the first free place of its row.
+
+    Spans end with the table.
+    """
     rows: dict[int, dict[int, dict]] = {}
-    trs = [r for r in walk(table, "tr")]
+    trs = own_rows(table)
     for r, tr in enumerate(trs):
         own = rows.setdefault(r, {})
         c = 0
@@ -87,7 +112,7 @@ def cell_grid(table) -> list[list[dict | None]]:
             link = next((a[1].get("href") for a in walk(td, "a") if "image" in classes(a)), None)
             image = next((i[1].get("src") for i in walk(td, "img")), None)
             cell = {"text": tidy(text_of(td)), "is_header": td[0] == "th", "link": link, "image": image}
-            for i in range(span(td, "rowspan")):
+            for i in range(min(span(td, "rowspan"), len(trs) - r)):
                 for j in range(span(td, "colspan")):
                     rows.setdefault(r + i, {})[c + j] = cell
     return [[rows[r].get(c) for c in range(max(rows[r], default=-1) + 1)] for r in range(len(trs))]

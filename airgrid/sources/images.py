@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from airgrid.operators import profile
+from airgrid.storage import cut
+
 INK, TOP, BOTTOM, NOISE = 180, 0.08, 0.02, 0.02
 
 
@@ -38,6 +41,11 @@ def _profile(images: DataFrame, of_image, schema: str, names: list[str], more: t
     return images.select("page_id", "height", "width", "nChannels", "data", *more).mapInPandas(run, f"page_id string, {schema}")
 
 
+def margins(height: int) -> tuple[int, int]:
+    """The rows from the top and the bottom margin on, rounded half up."""
+    return int(height * TOP + 0.5), height - int(height * BOTTOM + 0.5)
+
+
 PROFILE, NAMES = "axis string, column_index int, pos int, ink int", ["axis", "column_index", "pos", "ink"]
 
 
@@ -45,13 +53,32 @@ def column_ink_profile(images: DataFrame) -> DataFrame:
     """Ink of each x, between the margins at the top and bottom."""
 
     def of_image(a):
-        h = a.shape[0]
-        dark = ink(a[int(h * TOP) : h - int(h * BOTTOM)]).sum(axis=0)
+        top, bottom = margins(a.shape[0])
+        dark = ink(a[top:bottom]).sum(axis=0)
         return [("x", 0, x, int(v)) for x, v in enumerate(dark)]
 
     return _profile(images, of_image, PROFILE, NAMES)
 
 
+def columns_of_images(images: DataFrame) -> DataFrame:
+    """(page_id, column_index, x, width): columns between gutters, which may hold ink in NOISE of the rows between the margins."""
+    height = F.col("height")
+    scanned = height - profile.half_up(height * BOTTOM) - profile.half_up(height * TOP)
+    most = F.greatest(F.lit(1), profile.half_up(scanned * NOISE))
+    inked = column_ink_profile(images).join(images.select("page_id", most.alias("most")), "page_id")
+    gutters = profile.merge_close_runs(profile.threshold_runs(inked, F.col("ink") <= F.col("most"), 5))
+    kept = profile.drop_edge_columns(profile.columns_from_gutters(gutters))
+    return kept.withColumn("column_index", (F.row_number().over(Window.partitionBy("page_id").orderBy("x")) - 1).cast("int"))
+
+
+def row_cuts_of_images(images: DataFrame, pages: DataFrame) -> DataFrame:
+    """pages (page_id, rows, separator) with height and cuts array<int>, from the images of the pages."""
+    columns = cut(columns_of_images(images))
+    # Profiles are used by several steps; pixels are read once for them.
+    rows = cut(row_ink_profile(images, columns))
+    return profile.detect_row_cuts(rows, columns, pages.join(images.select("page_id", "height"), "page_id"), TOP, BOTTOM)
+
+
 def row_ink_profile(images: DataFrame, columns: DataFrame) -> DataFrame:
     """Ink of each y in each of the page's columns (page_id, column_index, x, width)."""
     own = columns.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("column_index", "x", "width"))).alias("cs"))

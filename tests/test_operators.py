@@ -139,6 +139,26 @@ def test_open_cells(spark):
     assert [(r["row_pos"], r["cells"], r["href"]) for r in got] == [(0, ["a", "b & c"], None), (1, ["d"], "x")]
 
 
+def test_nested_and_deep_tables(spark):
+    """Only a table's own rows are its rows; spans end with it; depth is no limit."""
+    inner = "<table><tr><td>x<tr><td>y</table>"
+    source = f"<table><thead><tr><th>head</thead><tbody><tr><td rowspan=99999999>a<td colspan=2>b{inner}<tr><td>c<td>d</table>"
+    table = next(html.walk(html.Tree(source).root, "table"))
+    assert [[c["text"] for c in row] for row in html.cell_grid(table)] == [["a", "bxy", "bxy"], ["a", "c", "d"]]
+    deep = "<div>" * 20_000 + "<a href=x>link</a>"
+    got = html.page_links(spark.createDataFrame([(1, deep)], "page_id long, html string")).collect()
+    assert [(r["pos"], r["href"]) for r in got] == [(0, "x")] and html.text_of(html.Tree(deep).root) == "link"
+
+
+def test_statistics_of_channels(spark):
+    b = spark.createDataFrame([("d", 1, "A", "channel", "abc", 80.0), ("d", 1, "A", "channel", None, 60.0), ("d", 1, "B", "ignored", "x", 1.0), ("d", 1, "C", "channel", "", None)], "page_date string, page_number int, channel string, type string, text string, confidence double")
+    p = spark.createDataFrame([("d", 1, "A")] * 3, "page_date string, page_number int, channel string")
+    got = sorted(map(tuple, entries.channel_statistics(b, p).drop("page_date", "page_number").collect()))
+    assert got == [("A", 3, 70.0, 3), ("C", 0, None, 0)]
+    failed = entries.batch_failures(spark.createDataFrame([("b", "bad"), ("a", None), ("c", "worse")], "input_key string, reason string"))
+    assert [tuple(r) for r in failed.collect()] == [("b", "bad"), ("c", "worse")]
+
+
 def test_rows_dropped(spark):
     ok = ["", "", "", "10:00", "00:30:00", "T", "", ""]
     bad = [ok[:5], ["", "", "", "10:00", "", "Statut de diffusion", ""], ["", "", "", "10:00", "", "[Interprogrammes]", ""], ["", "", "", "abc", "", "T", ""]]
@@ -152,6 +172,11 @@ def test_register(spark):
     got = {t[0]: t[1:] for t in map(tuple, register.rename_lineage(r).collect())}
     assert got["C8"] == ("Direct 8", 2) and got["Direct 8"] == ("Direct 8", 0)
     assert got["x"] == ("x", None) and got["y"] == ("y", None)
+    long = spark.createDataFrame([(f"n{i}", f"n{i - 1}" if i else None) for i in range(150)] + [(f"c{i}", f"c{(i + 1) % 70}") for i in range(70)] + [("into", "c3"), ("self", "self")], "name string, predecessor string")
+    got = {t[0]: t[1:] for t in map(tuple, register.rename_lineage(long).collect())}
+    assert all(got[f"n{i}"] == ("n0", i) for i in range(150)) and all(got[f"c{i}"] == (f"c{i}", None) for i in range(70))
+    assert got["into"] == ("into", None) and got["self"] == ("self", None)
+    assert register.rename_lineage(long.limit(0)).count() == 0
     names = ["Canal+ Live 1", "Eurosport 360 4", "X HD", "X +1", "Kiosque", "À la carte", "Canal+ Bleu"]
     kept = register.exclude_technical_channels(spark.createDataFrame([(n,) for n in names], "name string"))
     assert [r["name"] for r in kept.collect()] == ["Kiosque", "À la carte", "Canal+ Bleu"]

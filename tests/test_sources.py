@@ -3,6 +3,7 @@ import json
 import struct
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from airgrid.operators import layout, profile
@@ -72,6 +73,50 @@ def test_sinks(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "i"), sep=";", header=True).first()["samedi"] == "40"
 
 
+def test_no_page_in_range(spark, tmp_path):
+    (tmp_path / "2001-01-02-Page10.jpg").write_text("x")
+    with pytest.raises(ValueError):
+        files.scan_manifest(spark, str(tmp_path), "2001-02-01", "2001-03-01")
+
+
+def test_channel_tables(spark):
+    """S6 names its two tables; the reader itself is Spark's."""
+    seen = []
+    fake = type("S", (), {"read": type("R", (), {"jdbc": staticmethod(lambda url, name, properties: seen.append((url, name)) or name)})})
+    assert files.read_channel_tables(fake, "jdbc:x", {}) == ("chaine", "chaine_source") and [u for u, _ in seen] == ["jdbc:x"] * 2
+
+
+def test_row_cuts_of_images(spark, tmp_path):
+    """Pages of two columns by three rows: printed lines with a dark band below, blank runs, and even cuts."""
+    white, black = (255, 255, 255), (0, 0, 0)
+    height, width = 900, 140
+
+    def page(dark):
+        columns = [*range(10, 60), *range(80, 130)]
+        return [[black if x in columns and dark(x, y) else white for x in range(width)] for y in range(height)]
+
+    # Text of every second row; two lines of 4 px at 300 and 600, each with a band of 60 percent ink below.
+    def lined(x, y):
+        for at in (300, 600):
+            if at <= y < at + 4:
+                return True
+            if at + 4 <= y < at + 120:
+                return x % 5 < 3
+        return y % 4 == 0 and (x + y // 4) % 3 == 0
+
+    png(tmp_path / "line.png", page(lined))
+    png(tmp_path / "blank.png", page(lambda x, y: not (290 <= y < 310 or 590 <= y < 612) and (y // 2 + x) % 3 < 2))
+    png(tmp_path / "even.png", page(lambda x, y: (x + y) % 2 == 0))
+    read = images.read_images(spark, str(tmp_path / "*.png"))
+    name = F.regexp_extract("page_id", r"([a-z]+)\.png$", 1)
+    columns = images.columns_of_images(read)
+    assert {(r["column_index"], r["x"], r["width"]) for r in columns.collect()} == {(0, 10, 50), (1, 80, 50)}
+    separator = F.when(name == "line", "line").when(name == "blank", "whitespace").otherwise("even")
+    pages = read.select("page_id", F.lit(3).alias("rows"), separator.alias("separator"))
+    got = {r["name"]: r["cuts"] for r in images.row_cuts_of_images(read, pages).select(name.alias("name"), "cuts").collect()}
+    assert got == {"line": [302, 602], "blank": [300, 601], "even": [300, 600]}
+
+
 def test_images(spark, tmp_path):
     white, black, red = (255, 255, 255), (0, 0, 0), (255, 0, 10)
     rows = [[red] * 20 if y < 6 else [black if 8 <= x < 12 else white for x in range(20)] for y in range(100)]
