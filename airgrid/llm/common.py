@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airgrid.shipping import ship
+from airgrid.storage import cut, drop_dir, shared_dir  # noqa: F401
 
 #: Fixed value: the white space of all contracts, as the characters of [\x20\x09-\x0D].
 WS_CHARS = " \t\n\x0b\f\r"
@@ -22,32 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path for written tables, in the folder that spark.checkpoint.dir names.
-
-    Where that is unset, local mode takes a temporary folder; a cluster has none that all its machines share, so there it is an error.
-    """
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-shared-"))
-    return f"{sc.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def drop_dir(spark: SparkSession, path: str) -> None:
-    """Deletes a folder that shared_dir named, once nothing reads it any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, computed once and kept in the shared folder, so that lost executors cost no re-run of what led to them."""
-    shared_dir(df.sparkSession, "unused")
-    return df.checkpoint()
-
-
 def held_out(doc_id: Column | str) -> Column:
     """True for the quarter of documents that no training step may see."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 4 == 2
