@@ -59,7 +59,7 @@ CONTAINER = frozenset("article main section div body td center blockquote".split
 DROPPED = frozenset("head script style noscript template nav aside form button select textarea iframe object svg canvas audio video dialog menu title".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 HOLDS_P = CONTAINER | {"li", "th"}
-OUTSIDE_CELLS = frozenset("td th tr table tbody thead tfoot body html".split())
+OUTSIDE_CELLS = frozenset("tr table tbody thead tfoot body html".split())
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Words of class and id that mark what isn't the article.
 BOILERPLATE = re.compile(
