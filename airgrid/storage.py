@@ -32,3 +32,9 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows of df, computed once and kept in the shared folder, so that lost executors cost no re-run of what led to them."""
     shared_dir(df.sparkSession, "unused")
     return df.checkpoint()
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """A scan as its files lie; only a table so small that it has fewer splits than there are cores is dealt to all of them."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
