@@ -189,22 +189,26 @@ def led(signatures: np.ndarray, side: np.ndarray, across: bool, threshold: float
             part[np.isin(part, part[b])] = part[leader]
 
 
-def hung_together(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """(node, smallest node that it hangs together with) by the pairs, of the nodes that aren't the smallest."""
-    root: dict[int, int] = {}
+def parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of n nodes the smallest one that it hangs together with by the pairs (a[i], b[i])."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
-    def find(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            root[x] = root.get(up, up)
-            x = up
-        return x
 
-    for x, y in np.unique(np.stack([a, b], axis=1), axis=0).tolist() if len(a) else ():
-        x, y = find(x), find(y)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-    own = [(x, find(x)) for x in root]
-    return [x for x, r in own if x != r], [r for x, r in own if x != r]
+def hung_together(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node that it hangs together with) by the pairs, of the nodes that aren't the smallest."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = parts(len(nodes), at[: len(a)], at[len(a) :])
+    other = label != np.arange(len(nodes))
+    return nodes[other], nodes[label[other]]
 
 
 def ties_of(cells: DataFrame, threshold: float) -> DataFrame:
@@ -249,35 +253,37 @@ class Grams:
 
 def linked(grams: Grams, signatures: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Of the pairs (left[i], right[i]) of texts those that reach the threshold, in batches: pruned, then compared exactly."""
-    for k in range(0, len(left), 200_000):
-        a, b = similar(signatures, left[k : k + 200_000], right[k : k + 200_000], threshold)
+    for k in range(0, len(left), 1 << 20):
+        a, b = similar(signatures, left[k : k + (1 << 20)], right[k : k + (1 << 20)], threshold)
         if len(a):
             both = np.array([len(np.intersect1d(grams.of(i), grams.of(j), assume_unique=True)) for i, j in zip(a.tolist(), b.tolist(), strict=True)]) if len(a) < 1000 else shared(grams.of, a, b)
-            sizes = {i: len(grams.of(i)) for i in np.union1d(a, b).tolist()}
-            together = np.array([sizes[i] + sizes[j] for i, j in zip(a.tolist(), b.tolist(), strict=True)])
-            good = both >= threshold * (together - both) - 1e-9
+            sizes = np.zeros(len(signatures), dtype=np.int64)
+            for i in np.union1d(a, b).tolist():
+                sizes[i] = len(grams.of(i))
+            good = both >= threshold * (sizes[a] + sizes[b] - both) - 1e-9
             yield a[good], b[good]
 
 
 def shared(grams: Callable[[int], np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Common n-grams of many pairs at once: products of incidence matrices over n-grams of two texts at least."""
-    own = np.union1d(a, b)
+    left, right = np.unique(a), np.unique(b)
+    own = np.union1d(left, right)
     sets = [grams(int(i)) for i in own]
     rows, cols = np.repeat(np.arange(len(own)), [len(x) for x in sets]), np.concatenate(sets)
     often = np.bincount(cols) > 1
     keep = often[cols]
     rows, cols = rows[keep], (np.cumsum(often) - 1)[cols[keep]]
-    total = np.zeros((len(own), len(own)), dtype=np.float32)
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
     order = np.argsort(cols, kind="stable")
     rows, cols = rows[order], cols[order]
+    of_left, of_right = np.searchsorted(own, left), np.searchsorted(own, right)
     width = 1 << 12
     for start in range(0, int(often.sum()), width):
         lo, hi = np.searchsorted(cols, (start, start + width))
         m = np.zeros((len(own), width), dtype=np.float32)
         m[rows[lo:hi], cols[lo:hi] - start] = 1
-        total += m @ m.T
-    at = np.searchsorted(own, a), np.searchsorted(own, b)
-    return total[at].astype(np.int64)
+        total += m[of_left] @ m[of_right].T
+    return total[np.searchsorted(left, a), np.searchsorted(right, b)].astype(np.int64)
 
 
 def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures: np.ndarray, across: bool, n: int, threshold: float) -> Iterator[tuple[int, int, int]]:
@@ -285,20 +291,19 @@ def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures:
 
     The pairs are those within the cell's block, or those across its two blocks (none if one of them is empty).
     """
-    grams = Grams(lambda i: words_of(texts[i]), n)
-    block = np.array(blocks)
+    key = np.array(ids, dtype=np.int64)
+    order = np.argsort(key, kind="stable")  # so that the smallest node is the one with the smallest id
+    key, block, signatures = key[order], np.array(blocks)[order], signatures[order]
+    grams = Grams(lambda i: words_of(texts[order[i]]), n)
     if across:
         left, right = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == block.min()), np.flatnonzero(block > block.min())))
     else:
-        left, right = np.triu_indices(len(ids), 1)
-    key, links = np.array(ids), np.zeros(len(ids), dtype=np.int64)
-    tied = []
+        left, right = np.triu_indices(len(key), 1)
+    links, root = np.zeros(len(key), dtype=np.int64), np.arange(len(key))
     for a, b in linked(grams, signatures, left, right, threshold):
-        links += np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
-        tied.append((key[a], key[b]))
-    root = dict(zip(*hung_together(*(np.concatenate(x) for x in zip(*tied, strict=True))), strict=True)) if tied else {}
-    for i, own in zip(ids, links.tolist(), strict=True):
-        yield i, root.get(i, i), own
+        links += np.bincount(a, minlength=len(key)) + np.bincount(b, minlength=len(key))
+        root = parts(len(key), np.concatenate([a, np.arange(len(key))]), np.concatenate([b, root]))
+    yield from zip(key.tolist(), key[root].tolist(), links.tolist(), strict=True)
 
 
 def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
