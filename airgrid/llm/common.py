@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airgrid.shipping import ship
-from airgrid.storage import cut, drop_dir, shared_dir  # noqa: F401
+from airgrid.storage import cut, dealt, drop_dir, shared_dir  # noqa: F401
 
 #: Fixed value: the white space of all contracts, as the characters of [\x20\x09-\x0D].
 WS_CHARS = " \t\n\x0b\f\r"
@@ -17,7 +17,7 @@ MAX_KEYS = 50_000
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def held_out(doc_id: Column | str) -> Column:

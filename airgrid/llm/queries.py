@@ -112,3 +112,16 @@ SQL["op10_warc"] = r"""
            CASE WHEN h.page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN h.page_id = last THEN NULL ELSE last END AS refers_to
     FROM h JOIN d USING (page_id)"""
+#: Exact on any table, by all pairs of texts that share an n-gram: for small tables only.
+SQL["op7_ngram_join"] = r"""
+    WITH RECURSIVE t AS (SELECT doc_id, w, array_to_string(w, ' ') AS k FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents) WHERE len(w) > 0),
+    c AS (SELECT k, min(doc_id) AS node, count(DISTINCT doc_id) AS n_copies, any_value(w) AS w FROM t GROUP BY k),
+    g AS (SELECT DISTINCT node, array_to_string(w[i:least(i + 4, len(w))], ' ') AS s FROM (SELECT node, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM c)),
+    z AS (SELECT node, count(*) AS m FROM g GROUP BY node),
+    p AS (SELECT a.node AS x, b.node AS y, count(*) AS both_have FROM g a JOIN g b ON a.s = b.s AND a.node <> b.node GROUP BY ALL),
+    l AS (SELECT x, y FROM p JOIN z zx ON zx.node = x JOIN z zy ON zy.node = y WHERE 9 * both_have >= 4 * (zx.m + zy.m)),
+    r AS (SELECT node, node AS root FROM c UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.node),
+    o AS (SELECT node, min(root) AS class_id FROM r GROUP BY node),
+    n AS (SELECT x AS node, count(*) AS n_links FROM l GROUP BY x)
+    SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_links, 0) AS n_links, coalesce(n_copies, 1) AS n_copies
+    FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN c ON c.k = t.k LEFT JOIN o ON o.node = c.node LEFT JOIN n ON n.node = c.node"""
