@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgrid.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
-from airgrid.llm.common import cut, drop_dir, shared_dir
+from airgrid.llm.common import cut, dealt, drop_dir, shared_dir
 from airgrid.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -77,7 +77,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage over what the stages before it wrote. A stage's table goes once the next one is written; the last table stays for the result."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = dealt(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     written = None
     for name, stage in STAGES[:-1]:
         path = shared_dir(spark, name)

@@ -186,3 +186,27 @@ def test_empty(spark):
     blocks = spark.createDataFrame([], "page_date string, page_number int, block_pos int, channel string, text string")
     assert entries.programmes_of_blocks(blocks).count() == 0
     assert profile.cluster_by_position(spark.createDataFrame([], "page_id string, column_index int, pos int")).count() == 0
+
+
+def test_storage(spark, monkeypatch, tmp_path):
+    """Small scans are dealt to all cores, others left as they lie; a folder that only one machine sees is refused on a cluster."""
+    from airgrid import storage
+
+    n = spark.sparkContext.defaultParallelism
+    assert storage.dealt(spark.range(100).coalesce(1)).rdd.getNumPartitions() == n
+    many = spark.range(100).repartition(n + 3)
+    assert storage.dealt(many) is many
+    path = storage.shared_dir(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and path != storage.shared_dir(spark, "t")
+    storage.drop_dir(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    fake = type("S", (), {"sparkContext": Context, "conf": type("C", (), {"get": staticmethod(lambda k, d=None: d)})})
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(fake, "t")
