@@ -160,6 +160,13 @@ def channel_source_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.resolve_channel_source(*channel_tables(spark, sf_dir))[1]
 
 
+@query("SELECT o_orderpriority AS channel, CAST(o_orderdate AS DATE) AS day, count(*) AS n_programmes FROM orders GROUP BY ALL HAVING count(*) >= 3")
+def capped_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose number of rows reaches what a request gives at most."""
+    days = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("channel"), F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_programmes"))
+    return catalogue.capped_days(days, 3)
+
+
 # Listings
 
 
