@@ -34,12 +34,6 @@ def docs(spark, texts, source="s", extra=False):
 ODD = [None, "", " \n\t", "a", "a b", "!!!", "é" * 50, "x" * 30_000, prose(1), prose(1), prose(1) + " ", "\x00 \x1c \x85 z", "퟿ 日本 ﬁ İ Σας"]
 
 
-def sf(spark, tmp_path, **tables):
-    for name, df in tables.items():
-        df.write.parquet(str(tmp_path / f"{name}.parquet"))
-    return str(tmp_path)
-
-
 # 1
 
 
