@@ -21,7 +21,7 @@ columns only; `rows_taken` gives those of the input, whatever their names.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airgrid.llm.common import cut, words_of
@@ -30,6 +30,8 @@ WEIGHTS, CAP, BLOCK, FINE, SEED = (5, 2, 1), 3, 64, 8, 9
 #: Words of a shard, unless that makes more than MAX_SHARDS shards.
 SHARD_WORDS, MAX_SHARDS = 200_000, 50_000
 MAX_SOURCES = 1_000_000
+#: Rows, and characters of their names, of a table that is broadcast.
+LOOKUP_ROWS, LOOKUP_CHARS = 200_000, 1 << 24
 
 
 def targets(sizes: list[int], weights: list[int], cap: int = CAP) -> list[float]:
@@ -102,7 +104,7 @@ def plan(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     target = targets(totals, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(names))])
     shard_words = max(SHARD_WORDS, -(-sum(totals) // MAX_SHARDS))
     schema = "q_named string, source_size long, target double, shards int"
-    sources = spark.createDataFrame([(n, s, t, max(1, -(-s // shard_words))) for n, s, t in zip(names, totals, target, strict=True)], schema)
+    sources = lookup(spark, [(n, s, t, max(1, -(-s // shard_words))) for n, s, t in zip(names, totals, target, strict=True)], schema)
     shards = sharded(sizes, sources).groupBy("q_source", "q_shard").agg(F.sum("q_size").alias("s")).orderBy("q_source", "q_shard").collect()
     block = max(1, min([BLOCK, *(s // FINE for s in totals if s)]))
     every = np.array(totals, dtype=np.int64)
@@ -121,11 +123,17 @@ def plan(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
         for (shard, s), w in zip(own[name], words_for(seats, of, block, words).tolist(), strict=True):
             laps, rest = divmod(w, s)
             rows.append((name, shard, laps, rest))
-    return sources, spark.createDataFrame(rows, "q_named string, q_of int, laps int, extra long")
+    return sources, lookup(spark, rows, "q_named string, q_of int, laps int, extra long")
+
+
+def lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of rows that begin with a name; broadcast if rows and names are few, so that documents don't meet by source, of which one may be hot."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= LOOKUP_ROWS and sum(len(r[0] or "") for r in rows) <= LOOKUP_CHARS else df
 
 
 def sharded(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """rows with words, with source_size, target and q_shard. Sources are one row each, so the hint-free join broadcasts them if they are few."""
+    """rows with words, with source_size, target and q_shard."""
     out = rows.where("q_size > 0").join(sources, F.col("q_source").eqNullSafe(F.col("q_named"))).drop("q_named")
     return out.withColumn("q_shard", F.pmod("q_hash", F.col("shards")).cast("int")).drop("shards")
 
