@@ -454,21 +454,33 @@ def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Line-ups
 
 
-@query("""SELECT r_name || '.htm' AS path, r_name AS category, CAST(n_nationkey AS VARCHAR) AS number, n_name AS channel, '/f/' || n_nationkey || '.svg' AS logo FROM nation JOIN region ON n_regionkey = r_regionkey""")
-def lineup_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page for each region, with a cell that spans all of its rows, read back."""
-    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    cells = F.struct("n_nationkey", "n_name")
-    g = n.groupBy("r_name").agg(F.sort_array(F.collect_list(cells)).alias("rows"))
+def lineup_page(heading: Column, group: Column) -> Column:
+    """A page with a table of the rows (number, name) of a column named rows, which share one cell."""
     tr = F.transform(
         "rows",
         lambda x, i: F.concat(
-            F.lit("<tr><td>"), x["n_nationkey"].cast("string"), F.when(i == 0, F.concat(F.lit("<td rowspan="), F.size("rows").cast("string"), F.lit(">G"))).otherwise(F.lit("")),
-            F.lit('<td><a class=image href="/f/'), x["n_nationkey"].cast("string"), F.lit('.svg"><img src=t.png></a><td>'), x["n_name"],
+            F.lit("<tr><td>"), x["number"].cast("string"), F.when(i == 0, F.concat(F.lit("<td rowspan="), F.size("rows").cast("string"), F.lit(">"), group)).otherwise(F.lit("")),
+            F.lit('<td><a class=image href="/f/'), x["number"].cast("string"), F.lit('.svg"><img src=t.png></a><td>'), x["name"],
         ),
     )
-    source = F.concat(F.lit('<div class="mw-parser-output"><h2><span class="mw-headline">'), "r_name", F.lit("</span></h2><table class=wikitable><tr><th>N° de canal<th>Groupe<th>Logo<th>Chaîne"), F.array_join(tr, ""), F.lit("</table></div>"))
-    return lineup.lineup_rows(g.select(F.concat("r_name", F.lit(".htm")).alias("path"), source.alias("html"))).select("path", "category", "number", "channel", "logo")
+    return F.concat(F.lit('<div class="mw-parser-output"><h2><span class="mw-headline">'), heading, F.lit("</span></h2><table class=wikitable><tr><th>N° de canal<th>Groupe<th>Logo<th>Chaîne"), F.array_join(tr, ""), F.lit("</table></div>"))
+
+
+@query("""SELECT r_name || '.htm' AS path, r_name AS category, CAST(n_nationkey AS VARCHAR) AS number, n_name AS channel, '/f/' || n_nationkey || '.svg' AS logo FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def lineup_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each region, with a cell that spans all of its rows, read back."""
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    g = n.groupBy("r_name").agg(F.sort_array(F.collect_list(F.struct(F.col("n_nationkey").alias("number"), F.col("n_name").alias("name")))).alias("rows"))
+    return lineup.lineup_rows(g.select(F.concat("r_name", F.lit(".htm")).alias("path"), lineup_page(F.col("r_name"), F.lit("G")).alias("html"))).select("path", "category", "number", "channel", "logo")
+
+
+@query(f"""SELECT 'P' || s_suppkey // {PAGE_ROWS} || '.htm' AS path, 'Page ' || s_suppkey // {PAGE_ROWS} AS category, CAST(s_suppkey AS VARCHAR) AS number, s_name AS channel, '/f/' || s_suppkey || '.svg' AS logo FROM supplier""")
+def lineup_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each PAGE_ROWS suppliers; the cell that they share holds a table of its own, whose rows are none of the page's."""
+    page = text(F.floor(F.col("s_suppkey") / PAGE_ROWS))
+    g = table(spark, sf_dir, "supplier").groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(F.struct(F.col("s_suppkey").alias("number"), F.col("s_name").alias("name")))).alias("rows"))
+    source = lineup_page(F.concat(F.lit("Page "), "page"), F.lit("G<table><tr><td>x<td>y<td>z<td>inner</table>"))
+    return lineup.lineup_rows(g.select(F.concat(F.lit("P"), "page", F.lit(".htm")).alias("path"), source.alias("html"))).select("path", "category", "number", "channel", "logo")
 
 
 @query("""
