@@ -5,11 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import exact_dedup, html_extraction, language_id, license_scan, mixing, ngram_join, packing, quality_rules, toxicity, warc
-from airgrid.llm.common import held_out, table
+from airgrid.llm import (
+    conversation_repair,
+    exact_dedup,
+    html_extraction,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality_rules,
+    toxicity,
+    warc,
+)
+from airgrid.llm.common import held_out, table, words_of
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +75,51 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are damaged by a checksum of conversation and turn: dropped, emptied, left without their stops, repeated, or given to the user."""
+    rows = table(spark, sf_dir, "conversations")
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    damage = F.crc32(F.concat_ws(":", known("conv_id"), known("turn"))) % 20
+    text = F.when(damage == 1, F.lit("")).when(damage == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    copies = F.explode(F.array_repeat(F.lit(True), F.when(damage == 3, 2).otherwise(1)))
+    rows = rows.select("conv_id", "turn", F.when(damage == 4, F.lit("user")).otherwise(known("role")).alias("role"), text.alias("text"), (damage != 0).alias("present"), copies.alias("copy"))
+    return conversation_repair.repair(rows, present=F.col("present"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of a tenth of the texts, from some word on, are made to come round with one period."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h")).withColumn("g", F.floor(F.col("h") / 10))
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = (F.col("g") % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+        return F.array_join(F.transform(words, lambda w, i: F.when(i >= a, F.get(words, a + (i - a) % p)).otherwise(w)), " ")
+
+    words = words_of(F.col("text"))
+    damaged = F.when((F.col("h") % 10 == 0) & (F.size(words) > 0), quality_rules.let(words, repeated)).otherwise(F.col("text"))
+    found = periodic_runs.detect(docs.select("doc_id", damaged.alias("text")))
+    # The longest run; of such the first in the order of the array, which is by start and period.
+    top = F.get(F.filter("runs", lambda x: x["length"] == F.array_max(F.transform("runs", lambda y: y["length"]))), F.lit(0))
+    lines = F.transform("runs", lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
@@ -99,6 +158,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_line_dedup": op13_line_dedup,
 }
 SQL["op10_warc"] = r"""
     WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages),
@@ -125,3 +187,10 @@ SQL["op7_ngram_join"] = r"""
     n AS (SELECT x AS node, count(*) AS n_links FROM l GROUP BY x)
     SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_links, 0) AS n_links, coalesce(n_copies, 1) AS n_copies
     FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN c ON c.k = t.k LEFT JOIN o ON o.node = c.node LEFT JOIN n ON n.node = c.node"""
+SQL["op13_line_dedup"] = r"""
+    WITH l AS (SELECT doc_id, i, x[i] AS line, translate(trim(x[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+               FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+    c AS (SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last <> doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR last = doc_id), '')) AS kept_sha256
+    FROM l LEFT JOIN c USING (k) GROUP BY doc_id"""
