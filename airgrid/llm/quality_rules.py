@@ -27,10 +27,10 @@ from airgrid.llm.common import WS_CHARS, WS_CLASS, cut
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Rows of the sample that costs and rejection rates are taken from, at most about; times each is asked in a timed run, and runs.
-SAMPLE_ROWS, REPEATS, RUNS = 400, 2, 2
-#: Costs are told apart by this factor, so that noise doesn't change the order.
-COST_STEP = 5.0
+#: Rows of the sample that costs and rejection rates are taken from, at most about; times that each row is there in a timed run, and runs of each rule.
+SAMPLE_ROWS, COPIES, RUNS = 400, 5, 2
+#: Shares of the dearest cost, and factors of gain, that are not told apart.
+FLOOR, NOISE = 0.002, 1.5
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -126,42 +126,48 @@ def prepared(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
     return docs.select(*(F.col(c).alias(f"q_own_{i}") for i, c in enumerate(columns)), F.inline(F.array(let(spaced(t), row))))
 
 
+def seconds(rows: DataFrame) -> float:
+    """Wall time of computing all rows once. Without a shuffle no run finds the work of an earlier one done."""
+    began = time.perf_counter()
+    rows.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - began
+
+
 def measure(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, rules: dict[str, Callable] = RULES) -> tuple[dict[str, float], dict[int, int]]:
-    """Seconds of each rule on a sample of about that many rows, and how many rows each set of rules rejects.
+    """Seconds that asking each rule of the whole sample takes, and how many of its rows each set of rules rejects.
 
-    A set is a number whose bits are the rules in their order. The sample lies in one partition, so that wall time is
-    the rule's own; what a run without a rule takes is taken off, and of several runs the shortest counts.
+    A set is a number whose bits are the rules in their order. The sample, of about that many rows, lies in one partition,
+    so that wall time is the rule's own, and there COPIES times, so that a run is more than its start. Of RUNS runs,
+    after one that compiles, the shortest counts, less what a run takes that asks nothing.
     """
     n = max(1, docs.count())
     sample = prepared(docs.sample(fraction=min(1.0, rows / n), seed=4), text, [])
     sample = cut(sample.coalesce(1) if n <= rows else sample.repartition(1))
+    many = cut(sample.withColumn("q_k", F.explode(F.sequence(F.lit(1), F.lit(COPIES)))))
     t, norm = F.col("q_t"), F.col("q_norm")
-    asked = {"": F.length(norm) < 0} | {name: rule(t, norm, Asked(t, norm)) for name, rule in rules.items()}
-    best = dict.fromkeys(asked, math.inf)
-    again = sample.withColumn("q_k", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
-    runs = {name: again.agg(F.count_if(reject)) for name, reject in asked.items()}  # planned once, run several times
-    for turn in range(RUNS + 1):  # the first only plans and warms up
-        for name, run in runs.items():
-            began = time.perf_counter()
-            run.collect()
-            if turn:
-                best[name] = min(best[name], time.perf_counter() - began)
+    asked = {"": F.col("q_words") < 0} | {name: rule(t, norm, Asked(t, norm)) for name, rule in rules.items()}
+    asking = {name: many.select(reject.alias("r")) for name, reject in asked.items()}
+    took = {name: min([seconds(df) for _ in range(RUNS + 1)][1:]) for name, df in asking.items()}
     bits = sum((F.when(asked[name], 1 << i).otherwise(0) for i, name in enumerate(rules)), F.lit(0))
     rejected = {r["bits"]: r["count"] for r in sample.select(bits.alias("bits")).groupBy("bits").count().collect()}  # 2^rules rows at most
-    return {name: best[name] - best[""] for name in rules}, rejected
+    return {name: max(0.0, took[name] - took[""]) / COPIES for name in rules}, rejected
 
 
 def order_of(cost: dict[str, float], rejected: dict[int, int]) -> list[str]:
-    """Next is always the rule with most rejections, among rows that no earlier rule rejected, per cost; then by cost and by name.
+    """Next is always the rule with most rejections, among rows that no earlier rule rejected, per cost; when none rejects any more, the cheapest.
 
-    A cost counts as the power of COST_STEP next to its share of the dearest one, one step down at most.
+    Costs below FLOOR of the dearest can't be told from nothing and count as that; rules within NOISE of the best are
+    taken by name, so that the noise of the clock doesn't change the order.
     """
-    most = max([*cost.values(), 1e-9])
-    level = {name: COST_STEP ** round(math.log(max(c / most, 1 / COST_STEP), COST_STEP)) for name, c in cost.items()}
+    floor = FLOOR * max([*cost.values(), 1e-9])
+    price = {name: max(c, floor) for name, c in cost.items()}
     bit = {name: 1 << i for i, name in enumerate(cost)}
     out, left, rows = [], set(cost), dict(rejected)
     while left:
-        name = min(left, key=lambda k: (-sum(n for b, n in rows.items() if b & bit[k]) / level[k], level[k], k))
+        gain = {k: sum(n for b, n in rows.items() if b & bit[k]) / price[k] for k in left}
+        if not any(gain.values()):
+            gain = {k: 1 / price[k] for k in left}
+        name = min(k for k in left if gain[k] * NOISE >= max(gain.values()))
         out.append(name)
         left.remove(name)
         rows = {b: n for b, n in rows.items() if not b & bit[name]}

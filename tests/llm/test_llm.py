@@ -77,6 +77,14 @@ def brute_dedup(texts):
     return out
 
 
+def test_exact_dedup_of_the_smallest_id(spark):
+    least, most = -(2**63), 2**63 - 1
+    df = spark.createDataFrame([(least, "a b"), (most, "ab "), (0, "ab"), (least, "other"), (None, "ab ")], "doc_id long, text string")
+    got = {(r["doc_id"], r["text_sha256"]): (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.deduplicate(df).collect()}
+    a, b = (hashlib.sha256(x).hexdigest() for x in (b"ab", b"other"))
+    assert got == {(least, a): (least, 4, True), (most, a): (least, 4, False), (0, a): (least, 4, False), (None, a): (least, 4, False), (least, b): (least, 1, True)}
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_exact_dedup(spark, collide):
     texts = [*ODD, *[prose(7)] * 40, "a  b", "ab", "b a"]
@@ -124,6 +132,17 @@ def test_license_scan(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_license_query_of_rows_without_names(spark, tmp_path):
+    """A file without an id speaks for no directory; null sources and languages are directories of their own."""
+    from airgrid.llm import queries
+
+    mit = license_scan.with_full_texts()["MIT"][-1]
+    rows = [(None, mit, "en", "s"), (1, "code", "en", "s"), (2, mit, None, "s"), (3, "code", None, "s"), (4, "code", "en", None), (5, "code", "s", "en"), (6, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["license"], r["how"]) for r in queries.op3_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {None: ("MIT", "own"), 1: (None, "none"), 2: ("MIT", "own"), 3: ("MIT", "inherited"), 4: (None, "none"), 5: (None, "none"), 6: (None, "none")}
+
+
 def test_license_scores(spark):
     """Against plain cosines of all lines, without anchors."""
     import math
@@ -221,6 +240,29 @@ def test_quality_first_rule_is_stable(spark):
         assert quality_rules.order_of(*quality_rules.measure(docs(spark, texts)))[0] == "few_words"
 
 
+def test_quality_costs_are_measured(spark):
+    """Five measurements: counting repeated words costs more than looking at the number of words, by far, and the order is one."""
+    texts = [prose(i, 300) for i in range(60)] + ["few words"] * 20 + ["#$% " * 60] * 10
+    df = docs(spark, texts)
+    orders = set()
+    for _ in range(5):
+        cost, rejected = quality_rules.measure(df)
+        assert cost["many_repeats"] > 5 * cost["few_words"] and cost["many_repeats"] == max(cost.values()) > 0
+        assert all(c >= 0 for c in cost.values()) and sum(rejected.values()) == len(texts)
+        orders.add(tuple(quality_rules.order_of(cost, rejected)))
+    assert len({o[:2] for o in orders}) == 1
+    assert all(o[0] == "few_words" for o in orders)
+
+
+def test_quality_order_follows_costs():
+    """The dearest rule is last unless it rejects most per cost; noise within the factor changes nothing."""
+    rejected = {0: 50, 1: 10, 2: 10, 4: 40}
+    assert quality_rules.order_of({"a": 1.0, "b": 5.0, "c": 100.0}, rejected) == ["a", "b", "c"]
+    assert quality_rules.order_of({"a": 1.0, "b": 5.0, "c": 2.0}, rejected) == ["c", "a", "b"]
+    assert quality_rules.order_of({"a": 1.2, "b": 5.0, "c": 4.1}, rejected) == ["a", "c", "b"]
+    assert quality_rules.order_of({"z": 1.0, "y": 1.3, "x": 40.0}, {0: 9}) == ["y", "z", "x"]
+
+
 # 5
 
 
