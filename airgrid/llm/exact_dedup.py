@@ -6,10 +6,11 @@
 3. Global: the winners of the salts, SALTS for a text at most, meet by digest and text.
 
 All three group by the text as well as by its digest, so two texts of one digest stay apart. Documents then get
-their class by digest, and where one digest has several texts by digest and text.
+their class by digest, and where one digest has several texts by digest and text. That join has one row for each class on one
+side; a class of very many copies is a hot key of the other, which Spark's own skew split deals to several tasks.
 
 Edge cases: null counts as the empty text; of equal texts the row with the most code points before normalising
-stays, then the smallest id (null ids last); of rows that repeat that id with an equally long equal text one is
+stays, then the smallest id of all 64-bit ones (null ids last); of rows that repeat that id with an equally long equal text one is
 `kept`; an empty table gives an empty result; other columns, whatever their names, don't matter.
 """
 
@@ -31,7 +32,7 @@ def normalised(text: Column) -> Column:
 
 def rank_of(n: Column, key: Column) -> Column:
     """Grows with length, then with smaller keys, null keys last."""
-    return F.struct(n.alias("n"), key.isNotNull().alias("has"), (-key).alias("minus"))
+    return F.struct(n.alias("n"), key.isNotNull().alias("has"), F.bitwise_not(key).alias("minus"))
 
 
 def sha256(norm: Column) -> Column:
@@ -46,7 +47,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_of:
     # Dealt by digest alone, which serves both the grouping by digest and text and the count of texts of a digest.
     merged = salted.repartition("digest").groupBy("digest", "norm").agg(F.max("r").alias("r"), F.sum("c").alias("group_size"))
     texts = F.count(F.lit(1)).over(Window.partitionBy("digest"))
-    return merged.withColumn("texts", texts).select("digest", F.when(F.col("texts") > 1, F.col("norm")).alias("norm"), "texts", (-F.col("r.minus")).alias("keep_id"), F.col("r.n").alias("keep_n"), "group_size")
+    return merged.withColumn("texts", texts).select("digest", F.when(F.col("texts") > 1, F.col("norm")).alias("norm"), "texts", F.bitwise_not("r.minus").alias("keep_id"), F.col("r.n").alias("keep_n"), "group_size")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", columns: tuple[str, ...] = ("doc_id",), digest_of: Callable[[Column], Column] = sha256) -> DataFrame:
