@@ -37,9 +37,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table has no paths: a document is a file named by its id, in the directory of its language in that of its source."""
+    """The table has no paths: a document is a file named by its id, in the directory of its language in that of its source.
+
+    A null source or language is a directory of its own, beside those of all names; a file without an id has no path,
+    so it neither inherits a licence nor gives one.
+    """
     docs = table(spark, sf_dir, "documents")
-    return license_scan.scan(docs.withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))))
+    part = lambda c: F.coalesce(F.col(c), F.lit("\0"))
+    return license_scan.scan(docs.withColumn("path", F.concat(part("source"), F.lit("/"), part("lang"), F.lit("/"), F.col("doc_id").cast("string"))))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
