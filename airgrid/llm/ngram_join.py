@@ -8,29 +8,38 @@
 3. The connected components of the ties are families. Texts of families meet in cells of two blocks of a family; there
    each pair is pruned in the same way, and the sets of word n-grams of all that are left are compared exactly.
    A cell gives the links of each node and the smallest node it hangs together with, never the pairs.
-4. Components of those are the classes; links add up over the cells.
+4. A family of more than a block of nodes, such as the copies of a boilerplate page, isn't compared in pairs. Its core is
+   the n-grams that most of a few of its texts have. With C the core, M(a) what a lacks of it and D(a) what a has besides,
+   a and b have |C| - |M(a)| - |M(b)| + x n-grams in common, x >= 0 counting what M(a) and M(b), and D(a) and D(b), share.
+   So they are linked if the margins 9 |C| - 18 |M| - 8 |text| of both (at a threshold of 0.8) add up to 0 or more,
+   whatever x is: sums over the margins' histogram count those links, and all texts that the one with the largest
+   margin is linked to are one class. Each text meets the core once. Only pairs whose margins add up to less than 0 are
+   compared in cells, one of them a text of negative margin.
+5. Components of all those are the classes; links add up over the cells.
 
 Nodes that only share a bucket by chance, or by a passage, are pruned before any text moves, so a family is about a class.
 A pair at the threshold shares no bucket with probability (1 - 0.8^ROWS)^BANDS, 5e-6; pruning adds about TOLERANCE at
 each chunk.
 
 Edge cases: words are the runs of characters other than [\\x20\\x09-\\x0D]; a text of 1 to n-1 words has one n-gram,
-all its words; a null, empty or blank text has none, so no link and a class of its own; rows that repeat an id are
-one document, which is linked to what any of its texts is linked to; rows with a null id keep null ids and have no
-links; an empty table gives an empty result; columns other than the id and the text are not looked at.
+all its words; a null, empty or blank text has none, so no link and a class of its own; rows that repeat an id with
+another text are each taken for their own text, and a class has the smallest id of its rows; rows with a null id keep null
+ids and have no links; an empty table gives an empty result; columns other than the id and the text are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 from functools import cache
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid.llm.common import cut
@@ -41,6 +50,8 @@ BANDS, ROWS = 40, 6
 CHUNK, TOLERANCE = 24, 1e-6
 #: Nodes of a bucket's block; nodes and bytes of text of a family's block, about; nodes of a bucket from which they aren't compared all at once.
 TIE_BLOCK, BLOCK, BLOCK_BYTES, SMALL = 20_000, 1024, 1 << 24, 16
+#: Texts of a large family that its core is taken from, about.
+CORE_TEXTS = 40
 _RANDOM = np.random.default_rng(7)
 _FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,9 +116,14 @@ def digest_of(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
+def text_hashes(text: Column) -> list[Column]:
+    """Two 64-bit hashes, t1 and t2, of a whole text, by which a row's result can be found."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
 def sketches(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(id, digest of the words, bytes of the text, band keys and signature; these are null without words) of each row."""
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    """(id, digest of the words, bytes of the text, band keys and signature; these are null without words; two hashes of the text) of each row."""
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"), *text_hashes(F.col(text)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -120,9 +136,9 @@ def sketches(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
                 keys.append(band_keys(values) if words else None)
                 signatures.append(signature(values) if words else None)
             new = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *new], names=["id", "digest", "size", "bands", "signature"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *new, *b.columns[2:]], names=["id", "digest", "size", "bands", "signature", "t1", "t2"])
 
-    return rows.mapInArrow(run, "id long, digest binary, size long, bands array<long>, signature binary")
+    return rows.mapInArrow(run, "id long, digest binary, size long, bands array<long>, signature binary, t1 long, t2 long")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -286,10 +302,11 @@ def shared(grams: Callable[[int], np.ndarray], a: np.ndarray, b: np.ndarray) ->
     return total[np.searchsorted(left, a), np.searchsorted(right, b)].astype(np.int64)
 
 
-def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures: np.ndarray, across: bool, n: int, threshold: float) -> Iterator[tuple[int, int, int]]:
+def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures: np.ndarray, across: bool, n: int, threshold: float, margins: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
     """(id, smallest id that it hangs together with here, links here) of the nodes of a cell.
 
-    The pairs are those within the cell's block, or those across its two blocks (none if one of them is empty).
+    The pairs are those within the cell's block, or those across its two blocks (none if one of them is empty); with
+    margins only those whose margins add up to less than 0.
     """
     key = np.array(ids, dtype=np.int64)
     order = np.argsort(key, kind="stable")  # so that the smallest node is the one with the smallest id
@@ -299,6 +316,10 @@ def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures:
         left, right = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == block.min()), np.flatnonzero(block > block.min())))
     else:
         left, right = np.triu_indices(len(key), 1)
+    if margins and margins[0] is not None:
+        margin = np.array(margins)[order]
+        open_ = margin[left] + margin[right] < 0
+        left, right = left[open_], right[open_]
     links, root = np.zeros(len(key), dtype=np.int64), np.arange(len(key))
     for a, b in linked(grams, signatures, left, right, threshold):
         links += np.bincount(a, minlength=len(key)) + np.bincount(b, minlength=len(key))
@@ -307,7 +328,7 @@ def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures:
 
 
 def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(component, k, id, root, links) from cells (component, i, j, k, id, block, digest, signature, t) that lie together and in order."""
+    """(component, k, id, root, links) from cells (component, i, j, k, id, block, digest, signature, margin, t) that lie together and in order."""
     kinds = {"component": pa.int64(), "k": pa.int32(), "id": pa.int64(), "root": pa.int64(), "links": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +341,7 @@ def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
                 pick = lambda c: [g[c][x] for x in own]  # noqa: B023, E731
                 if own:
                     signatures = np.frombuffer(b"".join(pick("signature")), dtype=np.uint8).reshape(len(own), -1)
-                    found = cell_links(pick("id"), pick("block"), pick("t"), signatures, g["i"][0] != g["j"][0], n, threshold)
+                    found = cell_links(pick("id"), pick("block"), pick("t"), signatures, g["i"][0] != g["j"][0], n, threshold, pick("margin"))
                     out += [(g["component"][0], g["k"][0], *x) for x in found]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds.values(), strict=True)], names=list(kinds))
@@ -328,48 +349,157 @@ def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
     return cells.mapInArrow(run, "component long, k int, id long, root long, links long")
 
 
-def dealt(rows: DataFrame, group: str) -> DataFrame:
-    """Each row of a group of k blocks in the k cells (i, j) of its block, each cell lying together and in order."""
-    cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+def gram_set(text: str, n: int) -> set[bytes]:
+    """The word n-grams of a text, their words one space apart."""
+    w = words_of(text)
+    size = min(n, len(w))
+    return {b" ".join(w[j : j + size]) for j in range(len(w) - size + 1)} if w else set()
+
+
+def cores_of(sample: DataFrame, n: int) -> DataFrame:
+    """(component, core) of texts (component, t) of each family: the n-grams that half of them have at least. Any core gives right links; a good one few open pairs."""
+    texts = sample.groupBy("component").agg(F.collect_list("t").alias("ts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cores = []
+            for ts in b.column("ts").to_pylist():
+                counts = Counter(g for t in ts for g in gram_set(t, n))
+                cores.append(sorted(g for g, c in counts.items() if 2 * c >= len(ts)))
+            yield pa.RecordBatch.from_arrays([b.column("component"), pa.array(cores, pa.list_(pa.binary()))], names=["component", "core"])
+
+    return texts.mapInArrow(run, "component long, core array<binary>")
+
+
+def margins_of(rows: DataFrame, blocks: DataFrame, cores: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(component, id, margin) of rows (component, id, block, digest, t). Each of the blocks gets its core as its first row, so each text travels once."""
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("id", "long"), ("digest", "binary"), ("t", "string"))]
+    first = blocks.join(cores, "component", "left").select("component", "block", F.lit(0).alias("kind"), *none, F.coalesce("core", F.array().cast("array<binary>")).alias("core"))
+    own = rows.select("component", "block", F.lit(1).alias("kind"), "id", "digest", "t", F.lit(None).cast("array<binary>").alias("core"))
+    both = first.unionByName(own).repartition("component", "block").sortWithinPartitions("component", "block", "kind")
+    up, down = Fraction(threshold).limit_denominator(1000).as_integer_ratio()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core: set[bytes] = set()
+        for b in batches:
+            out: tuple[list, ...] = ([], [], [])
+            for component, kind, i, digest, t, new in zip(*(b.column(c).to_pylist() for c in ("component", "kind", "id", "digest", "t", "core")), strict=True):
+                if kind == 0:
+                    core = set(new)
+                elif digest_of(words_of(t)) == digest:
+                    own = gram_set(t, n)
+                    # Linked: common >= up / (up + down) (|a| + |b|); twice that, so that halves of the core are whole.
+                    margin = (up + down) * (len(core) - 2 * len(core - own)) - 2 * up * len(own)
+                    for column, x in zip(out, (component, i, margin), strict=True):
+                        column.append(x)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["component", "id", "margin"])
+
+    return both.mapInArrow(run, "component long, id long, margin long")
+
+
+def linked_by_margin(margins: DataFrame) -> DataFrame:
+    """(component, id, margin, links, root) with the other nodes whose margin makes up for a node's own, and the family's node of the largest margin if that does.
+
+    Counted over the histogram of each family's margins, which has no more values than its texts have lengths.
+    """
+    bars = margins.groupBy("component", "margin").agg(F.count(F.lit(1)).alias("c"))
+    # At a value v the bars of v and more; a node of margin m asks at -m. Bars come before questions of the same value.
+    marks = bars.select("component", F.col("margin").alias("v"), F.lit(0).alias("asks"), "c", F.lit(None).cast("long").alias("margin"))
+    marks = marks.unionByName(bars.select("component", (-F.col("margin")).alias("v"), F.lit(1).alias("asks"), F.lit(0).cast("long").alias("c"), "margin"))
+    upto = F.sum("c").over(Window.partitionBy("component").orderBy(F.desc("v"), "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counts = marks.withColumn("n", upto).where("asks = 1").select("component", "margin", "n")
+    tops = margins.groupBy("component").agg(F.max("margin").alias("top"), F.min("margin").alias("least"), F.max_by("id", F.struct("margin", "id")).alias("hub"))
+    found = margins.join(counts, ["component", "margin"]).join(tops, "component")
+    links = F.col("n") - F.when(F.col("margin") >= 0, 1).otherwise(0)  # itself among them
+    return found.select("component", "id", "margin", "least", links.alias("links"), F.when(F.col("margin") + F.col("top") >= 0, F.col("hub")).otherwise(F.col("id")).alias("root"))
+
+
+def dealt(rows: DataFrame, group: str, first: Column | None = None) -> DataFrame:
+    """Each row of a group of k blocks in the k cells (i, j) of its block, each cell lying together and in order; of two blocks from `first` on there is no cell."""
+    others = F.sequence(F.lit(0), F.col("k") - 1)
+    if first is not None:
+        others = F.filter(others, lambda x: F.least(x, F.col("block")) < first)
+    cells = rows.withColumn("other", F.explode(others))
     cells = cells.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
     return cells.select(group, "i", "j", *(c for c in rows.columns if c != group)).repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
+def spread(k: Column, *seed: Column | str) -> Column:
+    """One of k blocks, by a hash."""
+    return F.pmod(F.xxhash64(*seed), k).cast("int")
+
+
+def blocks_of(count: Column, size: Column, block: int) -> Column:
+    return F.least(F.ceil(F.greatest(count / block, size / BLOCK_BYTES)), count).cast("int")
+
+
+def open_cells(members: DataFrame, margins: DataFrame, block: int) -> DataFrame:
+    """Members of large families that still have pairs to compare, in blocks: those of negative margins in the first ones.
+
+    A text whose margin the least one of its family can't bring below 0 has no such pair.
+    """
+    open_ = members.join(margins.where("margin + least < 0").select("id", "margin"), "id").withColumn("negative", F.col("margin") < 0)
+    size = open_.groupBy("component").agg(*(f(F.when(w, x)).alias(name) for name, f, w, x in (("m0", F.count, F.col("negative"), F.lit(1)), ("m1", F.count, ~F.col("negative"), F.lit(1)), ("s0", F.sum, F.col("negative"), F.col("size")), ("s1", F.sum, ~F.col("negative"), F.col("size")))))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    size = size.select("component", blocks_of(F.col("m0"), zero("s0"), block).alias("k0"), blocks_of(F.col("m1"), zero("s1"), block).alias("k1"))
+    at = F.when(F.col("negative"), spread(F.col("k0"), "id")).otherwise(F.col("k0") + spread(F.greatest(F.col("k1"), F.lit(1)), "id")).cast("int")
+    return open_.join(size, "component").withColumn("block", at).withColumn("k", F.col("k0") + F.col("k1"))
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, block: int = BLOCK, tie_block: int = TIE_BLOCK) -> DataFrame:
-    """(key, class_id, n_links, n_copies) of each row of docs.
+    """(key, class_id, n_links, n_copies, represents, t1, t2) of each row of docs.
 
     class_id is the smallest id of the class; n_links counts the other distinct texts that reach the threshold,
-    n_copies the documents of the same words, this one among them.
+    n_copies the documents of the same words, this one among them; represents is true for the rows of the class's smallest
+    id and, of that, one text; t1 and t2 are the row's text_hashes.
     """
     sketch = cut(sketches(docs, key, text, n))
-    nodes = sketch.where("id is not null and bands is not null").groupBy("digest").agg(F.min("id").alias("node"), F.countDistinct("id").alias("n_copies"))
-    nodes = cut(nodes)
-    named = nodes.select(F.col("digest").alias("of"), "node")
-    own = sketch.where("bands is not null").join(named, (F.col("digest") == F.col("of")) & (F.col("id") == F.col("node"))).select("node", "digest", "size", "bands", "signature").dropDuplicates(["digest"])
+    nodes = sketch.where("id is not null and bands is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.countDistinct("id").alias("n_copies"))
+    nodes = cut(cut(nodes).withColumn("node", F.monotonically_increasing_id()))
+    named = nodes.select(F.col("digest").alias("of"), "first_id", "node")
+    own = sketch.where("bands is not null").join(named, (F.col("digest") == F.col("of")) & (F.col("id") == F.col("first_id"))).select("node", "first_id", "digest", "size", "bands", "signature").dropDuplicates(["digest"])
     own = cut(own)
     buckets = own.select(F.explode("bands").alias("bucket"), "node")
     often = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    blocks = lambda k, *seed: F.pmod(F.xxhash64(*seed), k).cast("int")
-    shared_by = buckets.join(often, "bucket").select("bucket", "node", F.ceil(F.col("c") / tie_block).cast("int").alias("k")).withColumn("block", blocks(F.col("k"), "node", "bucket"))
+    shared_by = buckets.join(often, "bucket").select("bucket", "node", F.ceil(F.col("c") / tie_block).cast("int").alias("k")).withColumn("block", spread(F.col("k"), "node", "bucket"))
     met = shared_by.join(own.select("node", "signature"), "node").select("bucket", "k", "node", "block", "signature")
     families = components(ties_of(dealt(met, "bucket"), threshold))
     families = families.select(F.col("id").alias("node"), "component").join(own.drop("bands"), "node")
     size = families.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("bytes"))
-    members = families.join(size, "component").withColumn("k", F.ceil(F.greatest(F.col("m") / block, F.col("bytes") / BLOCK_BYTES)).cast("int")).withColumn("k", F.least("k", "m").cast("int"))
-    members = members.select(F.col("node").alias("id"), "component", "k", blocks(F.col("k"), F.col("node")).alias("block"), "digest", "signature")
+    members = families.join(size, "component").withColumn("k", blocks_of(F.col("m"), F.col("bytes"), block))
+    members = members.select(F.col("node").alias("id"), "first_id", "component", "m", "size", "k", spread(F.col("k"), F.col("node")).alias("block"), "digest", "signature")
     # Only texts of families travel on, each once before the cells are dealt.
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("id is not null")
-    whole = members.join(texts, "id").dropDuplicates(["id", "digest", "t"]).select("component", "k", "id", "block", "digest", "signature", "t")
-    found = cut(links_of(dealt(whole, "component"), n, threshold))
+    texts = docs.select(F.col(key).cast("long").alias("first_id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("first_id is not null")
+    with_text = lambda rows: rows.join(texts, "first_id").dropDuplicates(["id", "t"])
+    columns = ("component", "k", "id", "block", "digest", "signature", "margin", "t")
+    small = with_text(members.where(F.col("m") <= block)).withColumn("margin", F.lit(None).cast("long"))
+    found = cut(links_of(dealt(small.select(*columns), "component"), n, threshold))
+    large = members.where(F.col("m") > block)
+    if not large.isEmpty():
+        sample = with_text(large.where(F.xxhash64("id", F.lit(3)) / 2.0**64 + 0.5 <= CORE_TEXTS / F.col("m")))
+        margins = cut(linked_by_margin(cut(margins_of(with_text(large), large.select("component", "block").distinct(), cores_of(sample.select("component", "t"), n), n, threshold))))
+        found = found.unionByName(margins.select("component", F.lit(2).alias("k"), "id", "root", "links"))
+        rest = open_cells(large.drop("k", "block"), margins, block)
+        if not rest.isEmpty():
+            cells = dealt(with_text(rest).select(*columns, "k0"), "component", F.col("k0"))
+            found = found.unionByName(cut(links_of(cells, n, threshold)).withColumn("k", F.lit(2)))
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"))
     wide = found.where("k > 1 and id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     if not wide.isEmpty():  # families of several cells: their parts are put together
         links = links.join(components(wide).withColumnRenamed("component", "joined"), "id", "left").withColumn("root", F.coalesce("joined", "root"))
-    result = sketch.join(nodes, "digest", "left").join(links.select(F.col("id").alias("node"), "root", "n_links"), "node", "left")
+    links = cut(links.withColumnRenamed("id", "node").join(nodes.select("node", "first_id", "digest"), "node"))
+    least = links.groupBy("root").agg(F.min(F.struct("first_id", "digest")).alias("least"))
+    links = links.join(least, "root").select("node", "least", "n_links")
+    result = sketch.join(nodes, "digest", "left").join(links, "node", "left")
     has = F.col("id").isNotNull() & F.col("bands").isNotNull()
+    least = F.coalesce("least", F.struct("first_id", "digest"))
     return result.select(
         F.col("id").alias(key),
-        F.when(has, F.coalesce("root", "node")).otherwise(F.col("id")).alias("class_id"),
+        F.when(has, least["first_id"]).otherwise(F.col("id")).alias("class_id"),
         F.when(has, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
         F.when(has, F.col("n_copies")).otherwise(F.lit(1)).cast("long").alias("n_copies"),
+        (~has | ((F.col("id") == least["first_id"]) & (F.col("digest") == least["digest"]))).alias("represents"),
+        "t1",
+        "t2",
     )

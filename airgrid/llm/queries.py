@@ -64,7 +64,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(table(spark, sf_dir, "documents"))
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

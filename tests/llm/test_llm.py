@@ -4,6 +4,7 @@ import hashlib
 import io
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -445,6 +446,37 @@ def test_ngram_join(spark, monkeypatch, block, tie_block, small):
     assert got == brute_join(texts)
 
 
+@pytest.mark.parametrize("edits", [4, 9, 14])
+def test_ngram_join_of_large_families(spark, edits):
+    """Families of hundreds in blocks of sixteen: most links are counted by margins, those around the threshold in cells."""
+    r = random.Random(edits)
+    texts = []
+    for k in range(2):
+        base = prose(200 + k, 160).split()
+        for _ in range(150):
+            w = list(base)
+            for _ in range(r.randrange(0, edits)):
+                w[r.randrange(len(w))] = r.choice(WORDS)
+            texts.append(" ".join(w[r.randrange(3) :]))
+    r.shuffle(texts)
+    got = {x["doc_id"]: (x["class_id"], x["n_links"], x["n_copies"]) for x in ngram_join.join(docs(spark, texts), block=16).collect()}
+    assert got == brute_join(texts)
+
+
+def test_ngram_join_of_twenty_thousand_near_copies(spark):
+    """A boilerplate page with one field: all pairs are links, none of them is compared."""
+    n = 20_000
+    base = prose(300, 120)
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit(base + " number "), F.col("id").cast("string"), F.lit(" " + base[:200])).alias("text"))
+    began = time.perf_counter()
+    rows = ngram_join.join(df).groupBy("class_id", "n_links", "n_copies").count().collect()
+    assert [tuple(x) for x in rows] == [(0, n - 1, 1, n)]
+    assert time.perf_counter() - began < 120
+    members = spark.createDataFrame([(1, 7, 10), (2, 7, 10)], "id long, component long, size long").withColumns({"first_id": F.col("id")})
+    margins = spark.createDataFrame([(7, 1, 5, 0), (7, 2, 0, 0)], "component long, id long, margin long, least long").select("component", "id", "margin", "least")
+    assert ngram_join.open_cells(members, margins, 16).isEmpty()
+
+
 def test_ngram_join_odd(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     got = sorted((x["doc_id"] or 0, x["class_id"] or 0, x["n_links"]) for x in ngram_join.join(df).collect())

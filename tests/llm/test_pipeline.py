@@ -96,6 +96,18 @@ def test_empty(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_near_duplicates_of_ids_with_two_texts(spark, tmp_path):
+    """A near copy goes, another text of the same id stays; of an id with two near copies, or the same words twice, one row stays."""
+    a, b, c, d = (prose(k, 80) for k in range(4, 8))
+    rows = [(1, a), (5, a + " tail"), (5, b), (7, c), (8, d), (8, d + " tail"), (9, "one two"), (9, "one  two"), (9, ""), (9, None), (-(2**63), c + " end"), (-(2**63), "other words")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    got = sorted((r["doc_id"], r["text"] or "") for r in corpus_pipeline.near_duplicates(spark, df, str(tmp_path)).collect())
+    texts = [t.replace("  ", " ") for _, t in got]
+    kept_of_8 = [t for i, t in got if i == 8]
+    assert len(kept_of_8) == 1 and kept_of_8[0] in (d, d + " tail")
+    assert sorted(texts) == sorted([a, b, c + " end", kept_of_8[0], "one two", "", "", "other words"])
+
+
 def test_stages_odd_input(spark, tmp_path):
     """Extra columns with the operators' own names, repeated rows, null ids and sources: each stage keeps its columns, and one row of each repeat."""
     long = prose(1, 80)
