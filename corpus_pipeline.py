@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airgrid.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
-from airgrid.llm.common import cut, dealt, drop_dir, shared_dir
+from airgrid.llm.common import cut, dealt, drop_dir, shared_dir, words_of
 from airgrid.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -34,17 +34,20 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: the one with the smallest id.
 
-    Of rows that repeat an id and a text one stays; rows with a null id or without words are no near copies and stay;
-    an empty table stays empty.
+    Rows are dropped by id and text, so of rows that repeat an id only those whose own text is a near copy go; of those
+    that repeat an id and its words one stays. Rows with a null id or without words are no near copies and stay; an empty
+    table stays empty.
     """
     ship(spark)
     docs = docs.select(*COLUMNS)
-    dropped = ngram_join.join(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    left = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    dropped = ngram_join.join(docs).where("not represents").select("doc_id", "t1", "t2").distinct()
+    left = docs.select(*COLUMNS, *ngram_join.text_hashes(F.col("text"))).join(dropped, ["doc_id", "t1", "t2"], "left_anti").select(*COLUMNS)
     again = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 and doc_id is not null").select("doc_id"))
     if again.isEmpty():
         return left
-    once = left.join(again, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    words = words_of(F.col("text"))
+    once = left.join(again, "doc_id", "left_semi").withColumn("words", F.when(F.size(words) > 0, F.concat_ws(" ", words)).otherwise(F.col("text")))
+    once = once.dropDuplicates(["doc_id", "words"]).select(*COLUMNS)
     return left.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(once)
 
 
