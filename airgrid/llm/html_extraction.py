@@ -7,15 +7,17 @@
    128-bit hash of its labels, so votes and winners are of one small size however deep a page is nested.
 2. Spark counts the votes for each host and path; the paths that get SHARE of their host's pages win.
 3. Pages are read again: the text is that of the containers on a winning path (the path with most prose here if there
-   are several) if they hold WHOLE of the page's prose; any other page keeps its own choice.
+   are several) if they hold all of the page's prose; any other page keeps its own choice.
 
 In a container what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments is left out, by tag, role, and words of class and id. Inside an article a name alone is not enough, except a
-class of adverts: a named block goes if most of it is links, if it holds form fields and little text, if it is a list of
-comments, or if its class is a page's tool (sharing, menus) and it holds no sentence (any tool, where only a name tells
-that this is an article). A block with an h1 stays, and ids of
-headings and paragraphs never count. So is, outside the core, text that is mostly links and
-stands neither in a heading nor right beside more prose.
+comments is left out, by tag, role, and words of class and id. Inside an article a name alone is not enough, except
+classes of adverts and of a page's tools (sharing, newsletters, menus): any other named block goes if most of it is links, if
+it holds form fields and no sentence, if it is a list of comments, if its id is a tool's and it holds no sentence, or if a
+class of it is such a name and it stands first or last, before or behind all of the article's own prose. Inside `main`, or
+where only a name tells that this is an article, any name of a tool is enough. A block with an h1 stays, and ids of headings
+and paragraphs never count. A form stays if it holds sentences, and half of the page's prose at least, as pages that are one
+form do. Names that papers give to their parts (related-work, discussion) need evidence everywhere. Left out too is, outside
+the core, text that is mostly links and stands neither in a heading nor right beside more prose.
 
 Edge cases: null, empty or textless html gives the empty text; html without a container gives all its text blocks;
 unclosed tags are closed by the blocks that follow; a null or odd url counts as the empty host; repeated rows vote
@@ -40,8 +42,6 @@ from airgrid.llm.common import cut
 
 #: Share of a host's pages that a path needs; share of the best score that the core needs; text of which this share is links isn't prose.
 SHARE, NEARLY, LINKS = 0.1, 0.7, 0.5
-#: Share of a page's prose that a winning path has to hold there.
-WHOLE = 0.98
 #: Share of all pages from which a host is hot; tasks that the pages of any other host are dealt to.
 HOT, SALTS = 0.001, 16
 
@@ -56,8 +56,8 @@ BLOCK = frozenset(
 )
 ENDS_P = BLOCK - frozenset("body caption head html legend option tbody td tfoot th thead tr dd dt li".split())
 CONTAINER = frozenset("article main section div body td center blockquote".split())
-DROPPED = frozenset("head script style noscript template nav aside form button select textarea iframe object svg canvas audio video dialog menu title".split())
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+DROPPED = frozenset("head script style noscript template nav aside button select textarea iframe object svg canvas audio video dialog menu title".split())
+DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 HOLDS_P = CONTAINER | {"li", "th"}
 OUTSIDE_CELLS = frozenset("tr table tbody thead tfoot body html".split())
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -76,8 +76,12 @@ TOOL = re.compile(
 COMMENT_LIST = re.compile(r"(?:^|[^a-z])(?:comments|commentlist|disqus|replies)(?:$|[^a-z])")
 COMMENT = re.compile(r"(?:^|[^a-z])(?:comment|reply)(?:$|[^a-z])")
 FIELDS = frozenset("form input select textarea button".split())
-#: Characters of prose from which form fields are no sign of a form; words of a sentence.
-FORM_TEXT, SENTENCE = 500, 8
+#: Names that topics have too, and the words that a class of a block beside the article is made of.
+TOPIC = re.compile(r"(?:^|\s)(?:related[-_]?works?|discussions?)(?=\s|$)")
+BESIDE = frozenset("alert aside banner comment comments copyright disqus legal notice notices promo recommended related replies reply respond search sponsor sponsored widget".split())
+FILLS = frozenset("article articles bar block bottom box container content inner item items links list message panel post posts section site text top wrap wrapper".split())
+#: Words of a sentence.
+SENTENCE = 8
 ARTICLE = re.compile(r"(?:^|[^a-z])(?:article\w*|content|main|post|entry|story|body-?text|text|prose)(?:$|[^a-z])")
 
 TOKEN = re.compile(
@@ -116,13 +120,18 @@ class Suspect:
     comments: int = 0
     sentences: int = 0
     title: bool = False
+    form: bool = False
+    beside: bool = False  # a class of it is a name of what stands beside an article
 
-    def boilerplate(self) -> bool:
+    def boilerplate(self, prose: int, edge: bool) -> bool:
+        """With the page's prose, and whether it stands before or behind all of the article's own prose."""
+        if self.form:
+            return not self.sentences or 2 * (self.text - self.links) < prose
         if self.title:
             return False
-        form = self.fields > 0 and self.text < FORM_TEXT
-        tool = bool(TOOL.search(self.classes)) and not self.sentences
-        return bool(ADVERT.search(self.classes)) or (0 < self.text <= self.links / LINKS) or form or tool or self.comments > 0
+        fields = self.fields > 0 and not self.sentences
+        tool = any(TOOL.fullmatch(c) for c in self.classes.split()) or (bool(TOOL.search(self.named)) and not self.sentences)
+        return bool(ADVERT.search(self.classes)) or (0 < self.text <= self.links / LINKS) or fields or tool or self.comments > 0 or (self.beside and edge)
 
 
 @dataclass
@@ -139,6 +148,12 @@ def generalised(tag: str, classes: str) -> str:
     return ".".join([tag, *names])
 
 
+def named_beside(classes: str) -> bool:
+    """True if one of the classes is made of names of what stands beside an article, and of words that say nothing."""
+    parts = [set(re.split(r"[^a-z]+", c)) - {""} for c in classes.split()]
+    return any(p & BESIDE and p <= BESIDE | FILLS for p in parts)
+
+
 def path_of(labels: list[str]) -> str:
     """The hash that stands for a path of generalised labels."""
     path = b""
@@ -260,7 +275,8 @@ def parse(source: str) -> Page:
                     hidden = True
         above = stack[-1] if stack else None
         inside = above.in_article if above else 0
-        in_article = 2 if tag in ("article", "main") or role in ("main", "article") else max(inside, int(tag in CONTAINER and tag != "body" and bool(named and ARTICLE.search(named))))
+        marked = tag == "main" or role == "main" or (tag in CONTAINER and tag != "body" and bool(named and ARTICLE.search(named)))
+        in_article = 2 if tag == "article" or role == "article" else max(inside, int(marked))
         dropped = bool(above and above.dropped) or hidden or tag in DROPPED or role in DROPPED_ROLES
         if not dropped and (tag in ("header", "footer")):
             dropped = tag == "footer" or in_article < 2
@@ -271,11 +287,15 @@ def parse(source: str) -> Page:
         if not dropped and named and tag not in ("body", "html", "article", "main"):
             judged = classes.lower() if tag in HEADING or tag == "p" else named
             if BOILERPLATE.search(judged):
-                if not inside or (inside < 2 and TOOL.search(judged)) or (tag not in BLOCK and ADVERT.search(classes.lower())):
+                by_name = not inside and BOILERPLATE.search(TOPIC.sub(" ", judged))
+                if by_name or (inside < 2 and TOOL.search(judged)) or (tag not in BLOCK and ADVERT.search(classes.lower())):
                     dropped = True
                 elif tag in BLOCK and tag not in HEADING:
-                    suspects.append(Suspect(suspect, path, classes.lower(), judged))
+                    suspects.append(Suspect(suspect, path, classes.lower(), judged, beside=tag != "p" and named_beside(classes.lower())))
                     suspect = len(suspects) - 1
+        if not dropped and (tag == "form" or role == "form"):
+            suspects.append(Suspect(suspect, path, "", "", form=True))
+            suspect = len(suspects) - 1
         container = above.container if above else -1
         if tag in CONTAINER and not dropped:
             page.paths.append(path.hex())
@@ -298,9 +318,21 @@ def parse(source: str) -> Page:
                 above.title = above.title or e.title
                 above.text, above.links, above.fields, above.sentences = above.text + e.text, above.links + e.links, above.fields + e.fields, above.sentences + e.sentences
         comments = Counter(e.path for e in suspects if COMMENT.search(e.classes))
+        text_of = [len(b[1]) if b[2] < LINKS * len(b[1]) and not b[3] else 0 for b in page.blocks]
+        spans = [[len(text_of), -1] for _ in suspects]  # first and last block of each suspect
+        for k, at in enumerate(of_block):
+            if at >= 0:
+                spans[at] = [min(spans[at][0], k), k]
+        for e, (first, last_) in zip(reversed(suspects), reversed(spans), strict=True):
+            if e.parent >= 0:
+                spans[e.parent] = [min(spans[e.parent][0], first), max(spans[e.parent][1], last_)]
+        # The article's own prose: what stands in no suspect but forms and blocks with its title.
+        free = [at < 0 or (suspects[at].parent < 0 and (suspects[at].form or suspects[at].title)) for at in of_block]
+        own = [k for k, n in enumerate(text_of) if n and free[k]]
         gone: list[bool] = []
-        for e in suspects:  # children come after their parents
-            gone.append((e.parent >= 0 and gone[e.parent]) or e.boilerplate() or (comments[e.path] > 1 and bool(COMMENT.search(e.classes))))
+        for e, (first, last_) in zip(suspects, spans, strict=True):  # children come after their parents
+            edge = bool(own) and (last_ < own[0] or first > own[-1])
+            gone.append((e.parent >= 0 and gone[e.parent]) or e.boilerplate(sum(text_of), edge) or (comments[e.path] > 1 and bool(COMMENT.search(e.classes))))
         page.blocks = [b for b, at in zip(page.blocks, of_block, strict=True) if at < 0 or not gone[at]]
     return page
 
@@ -360,7 +392,7 @@ def under(page: Page, inside: list[bool]) -> list[bool]:
 
 
 def extract(page: Page, winners: list[str]) -> str:
-    """Blocks under the containers of the winning path with most prose if that is WHOLE of the page's, else under the page's own choice."""
+    """Blocks under the containers of the winning path with most prose if that is all of the page's, else under the page's own choice."""
     first = core(page)
     if first < 0:
         return "\n\n".join(b[1] for b in page.blocks)
@@ -368,7 +400,7 @@ def extract(page: Page, winners: list[str]) -> str:
     by_path: dict[str, int] = {}
     for p, n in zip(page.paths, own, strict=True):
         by_path[p] = by_path.get(p, 0) + n
-    known = [p for p in winners if p in by_path and by_path[p] >= WHOLE * total]
+    known = [p for p in winners if p in by_path and by_path[p] >= total]
     pick = choice(page)[0]
     if known:
         path = max(known, key=lambda p: (by_path[p], p))

@@ -618,6 +618,58 @@ def test_html_keeps_all_prose(spark):
     assert html_extraction.extract(html_extraction.parse(f"<p>{one}</p><div><p>{two}</p></div>"), []).count("part") == 100
 
 
+SAYS = [f"Sentence number {k} of the article says a few more words than eight." for k in range(6)]
+ASIDES = ["We use cookies to make this site work well for all of you.", "Subscribe to our newsletter and get the best stories once a week.", "You may like this other story about the same thing as well.", "Nice piece, thank you very much for writing it down here."]
+
+
+@pytest.mark.parametrize("article", ["article", "main", "div class='content'"])
+def test_html_leaves_out_what_names_mark_inside(article):
+    """Notices, newsletters, related stories, footers and comments around and between the paragraphs of an article."""
+    p = [f"<p>{x}</p>" for x in SAYS]
+    end = article.split()[0]
+    for name, aside in zip(("notice", "newsletter", "related-posts", "comment"), ASIDES, strict=True):
+        for place in (0, len(p)):
+            body = [*p[:place], f"<div class='{name}'><p>{aside}</p></div>", *p[place:]]
+            got = html_extraction.extract(html_extraction.parse(f"<body><{article}>{''.join(body)}</{end}></body>"), [])
+            assert got == "\n\n".join(SAYS), (name, place)
+    for name in ("newsletter", "footer", "share"):
+        body = [*p[:3], f"<div class='{name}'><p>{ASIDES[1]}</p></div>", *p[3:]]
+        assert html_extraction.extract(html_extraction.parse(f"<body><{article}>{''.join(body)}</{end}></body>"), []) == "\n\n".join(SAYS)
+
+
+def test_html_parts_of_papers_stay():
+    p = [f"<p>{x}</p>" for x in SAYS]
+    for source in (
+        f"<body><div>{''.join(p[:3])}<div id='discussion'>{''.join(p[3:])}</div></div></body>",
+        f"<body><div>{p[0]}<section class='related-work'>{''.join(p[1:])}</section></div></body>",
+        f"<body><article>{''.join(p[:2])}<section class='related-work'>{''.join(p[2:4])}</section><section id='discussion'>{''.join(p[4:])}</section></article></body>",
+        f"<body><article><div class='notice'>{p[0]}<h1></h1></div>{''.join(p[1:])}</article></body>".replace(p[0] + "<h1></h1>", f"<h1>{SAYS[0]}</h1>"),
+        f"<body><article>{''.join(p[:3])}<div class='notice'>{p[3]}</div>{''.join(p[4:])}</article></body>",
+    ):
+        assert html_extraction.extract(html_extraction.parse(source), []) == "\n\n".join(SAYS)
+
+
+def test_html_forms():
+    """A page that is one form keeps its prose and loses its fields; other forms go."""
+    p = "".join(f"<p>{x}</p>" for x in SAYS)
+    fields = "<select><option>One</option></select><input value='x'><button>Send it</button><textarea>typed</textarea>"
+    whole = f"<body><form id='aspnetForm'><input type='hidden' value='abc'><nav><a href='/'>Home</a></nav><div id='content'>{p}</div>{fields}</form></body>"
+    assert html_extraction.extract(html_extraction.parse(whole), []) == "\n\n".join(SAYS)
+    for form in (f"<form>Name: <input> Mail: <input>{fields}</form>", f"<form><p>{ASIDES[1]}</p>{fields}</form>", f"<div role='form'>{ASIDES[1]}{fields}</div>"):
+        for source in (f"<body>{form}<article>{p}</article></body>", f"<body><article>{p}{form}</article></body>", f"<body><div>{p}</div>{form}</body>"):
+            assert html_extraction.extract(html_extraction.parse(source), []) == "\n\n".join(SAYS)
+
+
+def test_html_line_beside_the_winning_path(spark):
+    """Twenty pages of one layout; the twenty-first has a correction beside the block that wins."""
+    p = "".join(f"<p>{x}</p>" for x in SAYS * 20)
+    rows = [(k, "http://h/", f"<body><div class='page'><div class='text'>{p}</div></div></body>") for k in range(20)]
+    rows.append((20, "http://h/", f"<body><div class='page'><div class='text'>{p}</div><p>Correction: the name was wrong.</p></div></body>"))
+    got = {r["page_id"]: r["text"] for r in html_extraction.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = "\n\n".join(SAYS * 20)
+    assert got == {**dict.fromkeys(range(20), text), 20: text + "\n\nCorrection: the name was wrong."}
+
+
 def test_html_small_block_on_the_winning_path(spark):
     """A rare layout with a teaser on its host's usual path keeps its article."""
     usual = "<html><body><div class=story><p>" + "A usual page of this host. " * 30 + "</p></div></body></html>"
