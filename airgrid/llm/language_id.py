@@ -11,15 +11,15 @@ input other than the id and the text are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airgrid.llm.common import bounded_sample
+from airgrid.llm.common import bounded_sample, cut
 
 #: Labelled documents read for each language at most; bytes of each dictionary, of all together, and of a slice.
 MAX_DOCS = 128
@@ -29,22 +29,24 @@ LEVEL = 3
 SLICE_BYTES = 1 << 13
 #: A relative margin that counts as certain, and one below which the guess is rejected.
 CERTAIN, NARROW = 0.08, 0.01
-LETTER = re.compile(r"[^\W\d_]")
 SCHEMA = "lang_pred string, score double, rejected boolean"
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", max_docs: int = MAX_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """Dictionary of each language, from at most max_docs texts of it (the bound of what reaches the driver).
+    """Dictionary of each language, from at most max_docs texts of it.
 
-    The dictionary is made of evenly spaced slices of all of them, in the order of a seeded hash. Very many languages
-    share ALL_BYTES, so that what is broadcast stays bounded.
+    The dictionary is made, in a task, of evenly spaced slices of all of them, in the order of a seeded hash. All
+    languages share ALL_BYTES, so that what reaches the driver and is broadcast stays bounded, however many there are.
     """
     rows = bounded_sample(labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()), lang, max_docs, 1, key, (text,))
-    found = rows.select(lang, F.xxhash64(F.lit(1), F.col(key)).alias("h"), text).orderBy(lang, "h", text).collect()
-    texts: dict[str, list[str]] = {}
-    for r in found:
-        texts.setdefault(r[lang], []).append(r[text].lower())
-    return {name: spread("\n".join(own).encode("utf-8", "replace"), min(size, ALL_BYTES // len(texts))) for name, own in texts.items()}
+    rows = cut(rows.select(F.col(lang).alias("name"), F.xxhash64(F.lit(1), F.col(key)).alias("h"), F.col(text).alias("text")))
+    each = min(size, ALL_BYTES // max(1, rows.select("name").distinct().count()))
+
+    def slices(own: pd.DataFrame) -> pd.DataFrame:
+        data = "\n".join(own.sort_values(["h", "text"])["text"].str.lower()).encode("utf-8", "replace")
+        return pd.DataFrame({"name": own["name"].iloc[:1], "data": [spread(data, each)]})
+
+    return {r["name"]: bytes(r["data"]) for r in rows.groupBy("name").applyInPandas(slices, "name string, data binary").orderBy("name").collect()}
 
 
 def spread(data: bytes, size: int) -> bytes:
@@ -69,7 +71,7 @@ class Identifier:
         return [sum(len(c.compress(p)) for p in parts) for c in self.compressors]
 
     def identify(self, text: str | None) -> tuple[str, float, bool]:
-        if not text or not self.names or not LETTER.search(text):
+        if not text or not self.names or not any(map(str.isalpha, text)):
             return "und", 0.0, True
         sizes = self.sizes(text)
         ranked = sorted(range(len(sizes)), key=lambda i: (sizes[i], self.names[i]))

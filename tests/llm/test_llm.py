@@ -38,6 +38,21 @@ ODD = [None, "", " \n\t", "a", "a b", "!!!", "é" * 50, "x" * 30_000, prose(1),
 # 1
 
 
+def test_language_needs_a_letter(spark):
+    """Numbers that aren't digits are no letters; a letter of any script is one."""
+    model = language_id.Identifier({"en": b"some words of a language", "de": "ein paar Wörter".encode()})
+    assert [model.identify(t)[0] for t in ("\u00bd \u00b2", "\u2460", "12 + 3_4", "", None, " \n")] == ["und"] * 6
+    assert all(model.identify(t)[0] != "und" for t in ("\u2460a", "\u65e5", "\u00aa", "\u00df"))
+
+
+def test_language_dictionaries_share_a_bound(spark, monkeypatch):
+    """However many languages there are, their dictionaries together stay within ALL_BYTES."""
+    monkeypatch.setattr(language_id, "ALL_BYTES", 5000)
+    df = spark.createDataFrame([(i, f"text {i} of this language " * 40, f"l{i % 50}") for i in range(200)], "doc_id long, text string, lang string")
+    found = language_id.learn(df)
+    assert len(found) == 50 and 50 <= sum(map(len, found.values())) <= 5000
+
+
 def test_language_id(spark):
     samples = {"en": ["the cat and the dog are in the house with that other one"] * 5, "de": ["der hund und die katze sind nicht mit dem anderen in einem haus"] * 5}
     rows = [(i, f"{t} {i}", lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in samples.items() for t in ts)]
