@@ -40,10 +40,17 @@ def parse_month_filename(name: Column) -> Column:
     return F.when(number > 0, F.struct(F.regexp_extract(base, pattern, 2).cast("int").alias("year"), F.lpad(number.cast("string"), 2, "0").alias("month")))
 
 
-def pick_header_columns(cells: Column) -> Column:
-    """struct<number int, channel int, logo int>: 0-based places of the columns of a line-up table, by their headings."""
+def pick_header_columns(cells: Column, places: Column | None = None) -> Column:
+    """struct<number int, channel int, logo int>: 0-based places of the columns of a line-up table, by their headings.
+
+    places are the columns that the headings start in, if they are not one for each.
+    """
     folded = F.transform(cells, fold_accents)
-    place = lambda test, default: F.coalesce(F.nullif(F.array_position(F.transform(folded, test), F.lit(True)), F.lit(0)) - 1, F.lit(default)).cast("int")
+
+    def place(test, default):
+        at = F.nullif(F.array_position(F.transform(folded, test), F.lit(True)), F.lit(0)) - 1
+        return F.coalesce(at if places is None else F.get(places, at.cast("int")), F.lit(default)).cast("int")
+
     return F.struct(
         place(lambda x: x.contains("canal") & ~x.contains("logo"), 0).alias("number"),
         place(lambda x: x.contains("chaine") | x.contains("nom"), 3).alias("channel"),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: code points of blanks.
 _BLANKS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
+#: The same as one string.
+BLANKS = "".join(map(chr, _BLANKS))
 WS = "[" + "".join(f"\\x{{{c:x}}}" for c in _BLANKS) + "]"
 START, STOP = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
 TIME = START + r"(?:[01]?\d|2[0-3])[.,][0-5]\d" + STOP

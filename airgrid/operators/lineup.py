@@ -21,12 +21,20 @@ def drop_grid_noise_rows(rows: DataFrame) -> DataFrame:
 
 
 def lineup_rows(pages: DataFrame) -> DataFrame:
-    """(path, category, number, channel, logo) of the tables of class wikitable with two rows or more."""
-    nodes = carry_category(parse_tables(pages)).where("grid is not null and is_wikitable").where(F.size("grid") >= 2)
-    head = pick_header_columns(F.transform(F.get("grid", 0), lambda c: F.coalesce(c["text"], F.lit(""))))
-    rows = nodes.withColumn("h", head).select("path", "node_pos", "category", "h", F.posexplode(F.slice("grid", F.lit(2), F.size("grid") - 1)).alias("row", "cells"))
-    cell = lambda name: F.get(F.col("cells"), F.col(f"h.{name}"))
-    rows = rows.select("path", "node_pos", "row", "category", cell("number").alias("number_cell"), cell("channel").alias("channel_cell"), cell("logo").alias("logo_cell"))
+    """(path, category, number, channel, logo) of the tables of class wikitable with two rows or more.
+
+    A cell is dealt to the rows it spans only where it lies in one of the three columns that the headings name, so wide
+    and tall spans make no more rows than their table has. All of it happens in the partitions by path of the category.
+    """
+    nodes = carry_category(parse_tables(pages)).where("cells is not null and is_wikitable and n_rows >= 2")
+    top = F.filter("cells", lambda c: c["row"] == 0)
+    head = pick_header_columns(F.transform(top, lambda c: c["text"]), F.transform(top, lambda c: c["col"]))
+    cells = nodes.withColumn("h", head).select("path", "node_pos", "category", "h", F.posexplode("cells").alias("order", "x")).where("x.row + x.rows > 1")
+    kinds = ("number", "channel", "logo")
+    here = F.filter(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"h.{k}").alias("at")) for k in kinds)), lambda r: (r["at"] >= F.col("x.col")) & (r["at"] < F.col("x.col") + F.col("x.cols")))
+    cells = cells.withColumn("r", F.explode(here)).withColumn("row", F.explode(F.sequence(F.greatest(F.col("x.row"), F.lit(1)), F.col("x.row") + F.col("x.rows") - 1)))
+    last = [F.max_by("x", F.when(F.col("r.kind") == k, F.col("order"))).alias(f"{k}_cell") for k in kinds]
+    rows = cells.groupBy("path", "node_pos", "row").agg(F.first("category").alias("category"), *last)
     rows = drop_grid_noise_rows(rows)
     return rows.select(
         "path", "node_pos", "row", "category", F.coalesce("number_cell.text", F.lit("")).alias("number"), F.col("channel_cell.text").alias("channel"), extract_logo_url(F.col("logo_cell.link"), F.col("logo_cell.image")).alias("logo")

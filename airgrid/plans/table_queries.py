@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from airgrid.functions.text import collapse_ws
 from airgrid.functions.times import add_duration, format_fr_date, normalize_time, parse_partial_date
 from airgrid.functions.titles import extract_identifier, parse_facet_label, parse_group_history, resolve_title, split_distribution, strip_title_brackets
 from airgrid.operators import catalogue, entries, layout, lineup, profile, register, weekdays
@@ -84,7 +85,30 @@ def catalogue_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr = F.concat(F.lit("<tr><td>"), text("s_suppkey"), F.lit("<td><b>"), "s_name", F.lit("</b> &amp;\n "), "n_name", F.lit("</td></tr>"))
     page = F.floor(F.col("s_suppkey") / (7 * PAGE_ROWS)).alias("page")
     pages = rows.groupBy(text(F.col("s_suppkey") % 7).alias("path"), page).agg(F.concat(F.lit("<html><table><tbody>"), F.concat_ws("", F.sort_array(F.collect_list(tr))), F.lit("</tbody></table>")).alias("html"))
-    return html.catalogue_rows(pages, ("path",)).select("path", F.get("cells", 0).cast("long").alias("s_suppkey"), F.get("cells", 1).alias("label"))
+    return html.catalogue_rows(pages, ("path",)).select("path", F.get("cells", 0).cast("long").alias("s_suppkey"), collapse_ws(F.get("cells", 1)).alias("label"))
+
+
+@query(f"""
+    WITH s AS (SELECT s_suppkey // {PAGE_ROWS} AS page, row_number() OVER (PARTITION BY s_suppkey // {PAGE_ROWS} ORDER BY s_suppkey) AS r, s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    SELECT page, CAST(2 * r - 2 AS INT) AS row_pos, s_suppkey || '|' || s_name || ' &' || chr(10) || '  ' || n_name || ' inner|inner' AS cells FROM s
+    UNION ALL SELECT page, CAST(2 * r - 1 AS INT), 'inner' FROM s""")
+def catalogue_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in pages whose tables have no tbody and a table in each row: every row once, blanks inside cells as they are."""
+    rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    tr = F.concat(F.lit("<tr><td>\n"), text("s_suppkey"), F.lit(" <td> "), "s_name", F.lit(" &amp;\n  "), "n_name", F.lit("<table><tr><td> inner</table>"))
+    own = F.array_sort(F.collect_list(F.struct("s_suppkey", tr.alias("tr"))))
+    pages = rows.groupBy(F.floor(F.col("s_suppkey") / PAGE_ROWS).alias("page")).agg(F.concat(F.lit("<body><table><thead><tr><td>head</thead>"), F.array_join(F.transform(own, lambda x: x["tr"]), ""), F.lit("</table>")).alias("html"))
+    return html.catalogue_rows(pages, ("page",)).select("page", "row_pos", F.array_join("cells", "|").alias("cells"))
+
+
+@query("SELECT c_mktsegment AS channel, 2 * count(*) AS n FROM customer GROUP BY 1")
+def facet_labels_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As facet_labels, in a table in a cell of a table of that class: the outer cell lists its links, and so does each inner one."""
+    counts = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / PAGE_ROWS).alias("year"), "c_mktsegment").count()
+    a = F.concat(F.lit("<tr><td><a onclick=\"filterQueryByFacet('ch')\">"), "c_mktsegment", F.lit(" ("), text("count"), F.lit(")</a>"))
+    page = counts.groupBy("year").agg(F.concat(F.lit('<table class="x table_facettes"><tr><td><table class=table_facettes>'), F.concat_ws("", F.collect_list(a)), F.lit("</table><td><a>others (3)</a></table>")).alias("html"))
+    labels = html.facet_labels(page).select(parse_facet_label(F.col("label")).alias("f")).where("f is not null").select("f.*")
+    return labels.groupBy("channel").agg(F.sum("n").alias("n"))
 
 
 @query("""
@@ -483,6 +507,18 @@ def lineup_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineup.lineup_rows(g.select(F.concat(F.lit("P"), "page", F.lit(".htm")).alias("path"), source.alias("html"))).select("path", "category", "number", "channel", "logo")
 
 
+@query(f"""
+    WITH s AS (SELECT s_suppkey // {PAGE_ROWS} AS page, s_suppkey, s_name, row_number() OVER (PARTITION BY s_suppkey // {PAGE_ROWS} ORDER BY s_suppkey) - 1 AS r FROM supplier)
+    SELECT 'P' || page || '.htm' AS path, CAST(s_suppkey AS VARCHAR) AS number, first_value(s_name) OVER (PARTITION BY page, r // 2 ORDER BY r) AS channel, '/f/' || first_value(s_suppkey) OVER (PARTITION BY page, r // 3 ORDER BY r) AS logo FROM s""")
+def lineup_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-ups whose channels span two rows, whose logos span three, and whose group is two columns wide in the heading; spans run over the last row."""
+    g = table(spark, sf_dir, "supplier").groupBy(text(F.floor(F.col("s_suppkey") / PAGE_ROWS)).alias("page")).agg(F.sort_array(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("rows"))
+    cell = lambda x, i, n, html_: F.when(i % n == 0, F.concat(F.lit(f"<td rowspan={n}>"), html_)).otherwise(F.lit(""))
+    tr = F.transform("rows", lambda x, i: F.concat(F.lit("<tr><td>"), text(x["s_suppkey"]), F.lit("<td>a<td>b"), cell(x, i, 3, F.concat(F.lit('<a class=image href="/f/'), text(x["s_suppkey"]), F.lit('"></a>'))), cell(x, i, 2, x["s_name"])))
+    source = F.concat(F.lit('<div class="mw-parser-output"><table class=wikitable><tr><th>N° de canal<th colspan=2>Groupe<th>Logo<th>Chaîne'), F.array_join(tr, ""), F.lit("</table></div>"))
+    return lineup.lineup_rows(g.select(F.concat(F.lit("P"), "page", F.lit(".htm")).alias("path"), source.alias("html"))).select("path", "number", "channel", "logo")
+
+
 @query("""
     SELECT user_id, event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN 'S' || event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING), '') AS category FROM events""")
 def carried_category(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
 import datetime
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,12 +146,68 @@ def test_nested_and_deep_tables(spark):
     inner = "<table><tr><td>x<tr><td>y</table>"
     source = f"<table><thead><tr><th>head</thead><tbody><tr><td rowspan=99999999>a<td colspan=2>b{inner}<tr><td>c<td>d</table>"
     table = next(html.walk(html.Tree(source).root, "table"))
-    assert [[c["text"] for c in row] for row in html.cell_grid(table)] == [["a", "bxy", "bxy"], ["a", "c", "d"]]
+    rows, cells = html.cells_of(table)
+    assert rows == 2 and [(c["row"], c["col"], c["rows"], c["cols"], c["text"]) for c in cells] == [(0, 0, 2, 1, "a"), (0, 1, 1, 2, "bxy"), (1, 1, 1, 1, "c"), (1, 2, 1, 1, "d")]
     deep = "<div>" * 20_000 + "<a href=x>link</a>"
     got = html.page_links(spark.createDataFrame([(1, deep)], "page_id long, html string")).collect()
     assert [(r["pos"], r["href"]) for r in got] == [(0, "x")] and html.text_of(html.Tree(deep).root) == "link"
 
 
+def plain_grid(trs):
+    """Places of cells (rowspan, colspan) by a dict for each row, as a check of the intervals."""
+    rows = [{} for _ in trs]
+    for r, tds in enumerate(trs):
+        c = 0
+        for k, (down, across) in enumerate(tds):
+            while c in rows[r]:
+                c += 1
+            for i in range(min(down, len(trs) - r)):
+                for j in range(across):
+                    rows[r + i][c + j] = (r, k)
+            c += across
+    return rows
+
+
+def test_spans_by_brute_force():
+    r = random.Random(3)
+    for _ in range(200):
+        trs = [[(r.choice([1, 1, 2, 3, 9]), r.choice([1, 1, 2, 4])) for _ in range(r.randrange(5))] for _ in range(r.randrange(1, 8))]
+        source = "<table>" + "".join("<tr>" + "".join(f"<td rowspan={a} colspan={b}>x" for a, b in tds) for tds in trs) + "</table>"
+        _, cells = html.cells_of(next(html.walk(html.Tree(source).root, "table")))
+        got, names = [{} for _ in trs], [(i, k) for i, tds in enumerate(trs) for k in range(len(tds))]
+        for name, c in zip(names, cells, strict=True):
+            for i in range(c["rows"]):
+                for j in range(c["cols"]):
+                    got[c["row"] + i][c["col"] + j] = name
+        assert got == plain_grid(trs)
+
+
+def test_wide_and_tall_spans_cost_no_more_than_the_page(spark):
+    """A thousand rows of the widest and tallest cells: each cell once, and a row for each line of the line-up."""
+    source = "<table class=wikitable><tr><th>Canal<th>Nom" + "<tr><td colspan=1000 rowspan=65534>x" * 1000 + "</table>"
+    began = time.perf_counter()
+    rows, cells = html.cells_of(next(html.walk(html.Tree(source).root, "table")))
+    assert rows == 1001 and len(cells) == 1002 and cells[-1]["col"] == 999_000 and time.perf_counter() - began < 2
+    got = lineup.lineup_rows(spark.createDataFrame([("p.htm", f"<body>{source}")], "path string, html string")).collect()
+    assert len(got) == 1000 and {(r["number"], r["channel"]) for r in got} == {("x", "x")}
+
+
+def test_end_tags_are_linear():
+    for source in ("<div>" * 40_000 + "</span>" * 40_000, "<div><table>" * 20_000 + "</div>" * 20_000, "<table><tr><td>" * 20_000 + "</tr>" * 20_000):
+        began = time.perf_counter()
+        html.Tree(source)
+        assert time.perf_counter() - began < 2
+
+
+def test_rows_without_a_body(spark):
+    """Rows right in a table, cells without a row, a form between them, and tables in tables: each row once, as a browser has it."""
+    source = "<table><form><tr><td> a  \n b <td>c<table><tr><td>d</table></tr></form><td>e<tbody><tr><td>f</table><tr><td>g"
+    got = html.catalogue_rows(spark.createDataFrame([("k", source)], "path string, html string"), ("path",)).collect()
+    assert [r["cells"] for r in got] == [["a  \n b", "cd", "d"], ["d"], ["e"], ["f"]]
+    facets = "<table class=table_facettes><tr><td>filterQueryByFacet('ch') <a>A (1)</a><td><a>B (2)</a></table>"
+    assert [r["label"] for r in html.facet_labels(spark.createDataFrame([(1, facets)], "year int, html string")).collect()] == ["A (1)"]
+
+
 def test_statistics_of_channels(spark):
     b = spark.createDataFrame([("d", 1, "A", "channel", "abc", 80.0), ("d", 1, "A", "channel", None, 60.0), ("d", 1, "B", "ignored", "x", 1.0), ("d", 1, "C", "channel", "", None)], "page_date string, page_number int, channel string, type string, text string, confidence double")
     p = spark.createDataFrame([("d", 1, "A")] * 3, "page_date string, page_number int, channel string")
