@@ -328,7 +328,7 @@ def cell_links(ids: list[int], blocks: list[int], texts: list[str], signatures:
 
 
 def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(component, k, id, root, links) from cells (component, i, j, k, id, block, digest, signature, margin, t) that lie together and in order."""
+    """(component, k, id, root, links) from cells (component, i, j, k, id, block, signature, margin, t) that lie together and in order."""
     kinds = {"component": pa.int64(), "k": pa.int32(), "id": pa.int64(), "root": pa.int64(), "links": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,13 +336,9 @@ def links_of(cells: DataFrame, n: int, threshold: float) -> DataFrame:
             out: list[tuple] = []
             for start, end in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
                 g = t.slice(start, end - start).to_pydict()
-                # A row that repeats a node's id with another text isn't the node.
-                own = [x for x in range(end - start) if digest_of(words_of(g["t"][x])) == g["digest"][x]]
-                pick = lambda c: [g[c][x] for x in own]  # noqa: B023, E731
-                if own:
-                    signatures = np.frombuffer(b"".join(pick("signature")), dtype=np.uint8).reshape(len(own), -1)
-                    found = cell_links(pick("id"), pick("block"), pick("t"), signatures, g["i"][0] != g["j"][0], n, threshold, pick("margin"))
-                    out += [(g["component"][0], g["k"][0], *x) for x in found]
+                signatures = np.frombuffer(b"".join(g["signature"]), dtype=np.uint8).reshape(end - start, -1)
+                found = cell_links(g["id"], g["block"], g["t"], signatures, g["i"][0] != g["j"][0], n, threshold, g["margin"])
+                out += [(g["component"][0], g["k"][0], *x) for x in found]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
@@ -372,10 +368,10 @@ def cores_of(sample: DataFrame, n: int) -> DataFrame:
 
 
 def margins_of(rows: DataFrame, blocks: DataFrame, cores: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(component, id, margin) of rows (component, id, block, digest, t). Each of the blocks gets its core as its first row, so each text travels once."""
-    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("id", "long"), ("digest", "binary"), ("t", "string"))]
+    """(component, id, margin) of rows (component, id, block, t). Each of the blocks gets its core as its first row, so each text travels once."""
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in (("id", "long"), ("t", "string"))]
     first = blocks.join(cores, "component", "left").select("component", "block", F.lit(0).alias("kind"), *none, F.coalesce("core", F.array().cast("array<binary>")).alias("core"))
-    own = rows.select("component", "block", F.lit(1).alias("kind"), "id", "digest", "t", F.lit(None).cast("array<binary>").alias("core"))
+    own = rows.select("component", "block", F.lit(1).alias("kind"), "id", "t", F.lit(None).cast("array<binary>").alias("core"))
     both = first.unionByName(own).repartition("component", "block").sortWithinPartitions("component", "block", "kind")
     up, down = Fraction(threshold).limit_denominator(1000).as_integer_ratio()
 
@@ -383,10 +379,10 @@ def margins_of(rows: DataFrame, blocks: DataFrame, cores: DataFrame, n: int, thr
         core: set[bytes] = set()
         for b in batches:
             out: tuple[list, ...] = ([], [], [])
-            for component, kind, i, digest, t, new in zip(*(b.column(c).to_pylist() for c in ("component", "kind", "id", "digest", "t", "core")), strict=True):
+            for component, kind, i, t, new in zip(*(b.column(c).to_pylist() for c in ("component", "kind", "id", "t", "core")), strict=True):
                 if kind == 0:
                     core = set(new)
-                elif digest_of(words_of(t)) == digest:
+                else:
                     own = gram_set(t, n)
                     # Linked: common >= up / (up + down) (|a| + |b|); twice that, so that halves of the core are whole.
                     margin = (up + down) * (len(core) - 2 * len(core - own)) - 2 * up * len(own)
@@ -439,12 +435,13 @@ def open_cells(members: DataFrame, margins: DataFrame, block: int) -> DataFrame:
 
     A text whose margin the least one of its family can't bring below 0 has no such pair.
     """
-    open_ = members.join(margins.where("margin + least < 0").select("id", "margin"), "id").withColumn("negative", F.col("margin") < 0)
+    open_ = members.select("id", "component", "size").join(margins.where("margin + least < 0").select("id", "margin"), "id").withColumn("negative", F.col("margin") < 0)
     size = open_.groupBy("component").agg(*(f(F.when(w, x)).alias(name) for name, f, w, x in (("m0", F.count, F.col("negative"), F.lit(1)), ("m1", F.count, ~F.col("negative"), F.lit(1)), ("s0", F.sum, F.col("negative"), F.col("size")), ("s1", F.sum, ~F.col("negative"), F.col("size")))))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     size = size.select("component", blocks_of(F.col("m0"), zero("s0"), block).alias("k0"), blocks_of(F.col("m1"), zero("s1"), block).alias("k1"))
     at = F.when(F.col("negative"), spread(F.col("k0"), "id")).otherwise(F.col("k0") + spread(F.greatest(F.col("k1"), F.lit(1)), "id")).cast("int")
-    return open_.join(size, "component").withColumn("block", at).withColumn("k", F.col("k0") + F.col("k1"))
+    placed = open_.join(size, "component").select("id", "margin", at.alias("block"), (F.col("k0") + F.col("k1")).alias("k"), "k0")
+    return members.join(placed, "id")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, block: int = BLOCK, tie_block: int = TIE_BLOCK) -> DataFrame:
@@ -458,7 +455,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, t
     nodes = sketch.where("id is not null and bands is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.countDistinct("id").alias("n_copies"))
     nodes = cut(cut(nodes).withColumn("node", F.monotonically_increasing_id()))
     named = nodes.select(F.col("digest").alias("of"), "first_id", "node")
-    own = sketch.where("bands is not null").join(named, (F.col("digest") == F.col("of")) & (F.col("id") == F.col("first_id"))).select("node", "first_id", "digest", "size", "bands", "signature").dropDuplicates(["digest"])
+    own = sketch.where("bands is not null").join(named, (F.col("digest") == F.col("of")) & (F.col("id") == F.col("first_id"))).select("node", "first_id", "t1", "t2", "digest", "size", "bands", "signature").dropDuplicates(["digest"])
     own = cut(own)
     buckets = own.select(F.explode("bands").alias("bucket"), "node")
     often = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -468,21 +465,22 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, t
     families = families.select(F.col("id").alias("node"), "component").join(own.drop("bands"), "node")
     size = families.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("bytes"))
     members = families.join(size, "component").withColumn("k", blocks_of(F.col("m"), F.col("bytes"), block))
-    members = members.select(F.col("node").alias("id"), "first_id", "component", "m", "size", "k", spread(F.col("k"), F.col("node")).alias("block"), "digest", "signature")
-    # Only texts of families travel on, each once before the cells are dealt.
-    texts = docs.select(F.col(key).cast("long").alias("first_id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("first_id is not null")
-    with_text = lambda rows: rows.join(texts, "first_id").dropDuplicates(["id", "t"])
-    columns = ("component", "k", "id", "block", "digest", "signature", "margin", "t")
-    small = with_text(members.where(F.col("m") <= block)).withColumn("margin", F.lit(None).cast("long"))
+    members = members.select(F.col("node").alias("id"), "first_id", "t1", "t2", "component", "m", "size", "k", spread(F.col("k"), F.col("node")).alias("block"), "signature")
+    # Only texts of families travel on, once before the cells are dealt; rows that repeat one lie together already.
+    row = ["first_id", "t1", "t2"]
+    texts = docs.select(F.col(key).cast("long").alias("first_id"), *text_hashes(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("t")).where("first_id is not null")
+    members = cut(members.join(texts, row).dropDuplicates(row).drop(*row))
+    columns = ("component", "k", "id", "block", "signature", "margin", "t")
+    small = members.where(F.col("m") <= block).withColumn("margin", F.lit(None).cast("long"))
     found = cut(links_of(dealt(small.select(*columns), "component"), n, threshold))
     large = members.where(F.col("m") > block)
     if not large.isEmpty():
-        sample = with_text(large.where(F.xxhash64("id", F.lit(3)) / 2.0**64 + 0.5 <= CORE_TEXTS / F.col("m")))
-        margins = cut(linked_by_margin(cut(margins_of(with_text(large), large.select("component", "block").distinct(), cores_of(sample.select("component", "t"), n), n, threshold))))
+        sample = large.where(F.xxhash64("id", F.lit(3)) / 2.0**64 + 0.5 <= CORE_TEXTS / F.col("m"))
+        margins = cut(linked_by_margin(cut(margins_of(large, large.select("component", "block").distinct(), cores_of(sample.select("component", "t"), n), n, threshold))))
         found = found.unionByName(margins.select("component", F.lit(2).alias("k"), "id", "root", "links"))
         rest = open_cells(large.drop("k", "block"), margins, block)
         if not rest.isEmpty():
-            cells = dealt(with_text(rest).select(*columns, "k0"), "component", F.col("k0"))
+            cells = dealt(rest.select(*columns, "k0"), "component", F.col("k0"))
             found = found.unionByName(cut(links_of(cells, n, threshold)).withColumn("k", F.lit(2)))
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"), F.min("root").alias("root"))
     wide = found.where("k > 1 and id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
