@@ -5,25 +5,44 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airgrid.functions.names import slugify
+from airgrid.operators.order import numbered
+
+
+#: Days before 1970 from the year 1 on; levels of blocks of days, the largest of which holds all years up to 9999.
+_EARLIER, LEVELS = 719_162, 23
+
+
+def day_number(date: Column) -> Column:
+    """Days since the year 1, from 0."""
+    return F.unix_date(date).cast("long") + _EARLIER
 
 
 def resolve_period(dates: DataFrame, periods: DataFrame, date: str = "page_date") -> DataFrame:
     """dates with the first period, by list_pos, that covers them: period_name, null if none does.
 
-    periods (period_name, start_date, end_date, list_pos) is spread over its decades, so that the join has an equal
-    key and the interval is a filter on few candidates.
+    periods (period_name, start_date, end_date, list_pos) are cut into blocks of 2^level days that start at a multiple of
+    their length, two of a level at most, and of each block the first period stays. A date is in one block of each level.
+    So the join is on equal blocks, and neither long periods nor many of a time meet each other's dates.
     """
-    decade = lambda c: F.floor(F.year(c) / 10) * 10
-    p = periods.withColumn("decade", F.explode(F.sequence(decade("start_date"), decade("end_date"), F.lit(10).cast("bigint"))))
-    p = p.select("decade", "start_date", "end_date", "list_pos", "period_name")
-    d = dates.select(date).distinct().withColumn("decade", decade(date))
-    hit = d.join(p, "decade").where(F.col(date).between(F.col("start_date"), F.col("end_date")))
-    first = hit.groupBy(date).agg(F.min_by("period_name", "list_pos").alias("period_name"))
-    return dates.join(first, date, "left")
+    first, behind = day_number(F.col("start_date")), day_number(F.col("end_date")) + 1
+
+    def at(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        lo, hi = F.ceil(first / size).cast("long"), F.floor(behind / size).cast("long")
+        own = F.array(F.when(lo % 2 == 1, lo), F.when(hi % 2 == 1, hi - 1))
+        return F.when(lo < hi, F.transform(F.array_compact(own), lambda b: F.struct(level.alias("level"), b.alias("block"))))
+
+    levels = F.sequence(F.lit(0), F.lit(LEVELS - 1))
+    cut_up = periods.where("start_date <= end_date").withColumn("b", F.explode(F.flatten(F.filter(F.transform(levels, at), lambda x: x.isNotNull()))))
+    best = cut_up.groupBy("b.level", "b.block").agg(F.min_by("period_name", "list_pos").alias("period_name"), F.min("list_pos").alias("list_pos"))
+    d = dates.select(date).distinct().where(F.col(date).isNotNull())
+    d = d.withColumn("level", F.explode(levels)).withColumn("block", F.call_function("shiftright", day_number(F.col(date)), F.col("level")))
+    first_of = d.join(best, ["level", "block"]).groupBy(date).agg(F.min_by("period_name", "list_pos").alias("period_name"))
+    return dates.join(first_of, date, "left")
 
 
 def resolve_block_versions(blocks: DataFrame, date: str = "page_date") -> DataFrame:
@@ -48,6 +67,11 @@ def channel_inventory(layout: DataFrame) -> DataFrame:
     return names.where("name is not null").distinct().select("name", slugify(F.col("name")).alias("slug")).orderBy(F.collate("name", "fr"))
 
 
+def ordered_inventory(layout: DataFrame) -> DataFrame:
+    """channel_inventory with each channel's position in French order, from 1."""
+    return numbered(channel_inventory(layout), F.collate("name", "fr"), F.col("name"))
+
+
 def grid_cell_count(layout: DataFrame, page: tuple[str, ...] = ("period_name", "page_number")) -> DataFrame:
     return layout.groupBy(*page).agg(F.sum(F.coalesce("row_span", F.lit(1))).alias("cells"))
 

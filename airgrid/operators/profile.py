@@ -176,12 +176,13 @@ def whitespace_points(clusters: DataFrame, rows: DataFrame, max_gap: float = 80)
 
 
 def detect_row_cuts(rows: DataFrame, columns: DataFrame, pages: DataFrame, top: float = 0.08, bottom: float = 0.02) -> DataFrame:
-    """pages (page_id, height, rows, separator) with cuts array<int>, by the separator: line, whitespace or even.
+    """pages (page_id, height, rows, separator) with cuts array<int>, by the separator: whitespace, even, or line for any other or none.
 
     rows is the ink of each row of each column, columns (page_id, column_index, x, width). Printed lines count where a
     dense band follows them; blank runs where nearly all columns have one. What is missing is filled up.
     """
-    by = lambda separator: pages.where(F.col("separator") == separator).select("page_id")
+    kind = F.when(F.col("separator").isin("whitespace", "even"), F.col("separator")).otherwise(F.lit("line"))
+    by = lambda separator: pages.where(kind == separator).select("page_id")
     of = lambda df, separator: df.join(by(separator), "page_id", "left_semi")
     lines = cluster_by_position(line_candidates(of(rows, "line"), columns, pages, top, bottom))
     lines = contrast_filter(lines, of(rows, "line"), of(columns, "line"), offset_before=3).select("page_id", half_up(F.col("pos")).alias("pos"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airgrid.operators import profile
@@ -20,6 +20,11 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("origin").alias("page_id"), "height", "width", "nChannels", "data")
 
 
+def raster(rows: Column) -> Column:
+    """binary: the pixels of an image from the hexadecimal digits of its rows, array<string>, from the top."""
+    return F.unhex(F.array_join(rows, ""))
+
+
 def pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     """height x width x 3, blue, green, red."""
     a = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
