@@ -15,6 +15,7 @@ BLANKS = "".join(map(chr, _BLANKS))
 WS = "[" + "".join(f"\\x{{{c:x}}}" for c in _BLANKS) + "]"
 START, STOP = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
 TIME = START + r"(?:[01]?\d|2[0-3])[.,][0-5]\d" + STOP
+MARK = "\ufdd0\ufdd1"
 LEADING_TIME = r"^([01]?\d|2[0-3])[.,]([0-5]\d)"
 
 #: Genre keywords in the order of precedence, and the genre that each stands for.
@@ -38,7 +39,7 @@ GENRE = f"(?iu){START}({'|'.join(GENRES)}){STOP}"
 
 
 def trim_blanks(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def collapse_ws(c: Column) -> Column:
@@ -61,8 +62,12 @@ def normalize_ocr_text(c: Column) -> Column:
 
 
 def split_entries(flat: Column) -> Column:
-    """array<string>: from each time to just before the next; what stands before the first is dropped."""
-    return F.transform(F.regexp_extract_all(flat, F.lit(f"(?s)({TIME}.*?(?={TIME}|\\z))"), F.lit(1)), trim_blanks)
+    """array<string>: from each time to just before the next; what stands before the first is dropped.
+
+    One pass marks the times, so no place is tried twice; the mark is two noncharacters, which no text holds.
+    """
+    parts = F.split(F.regexp_replace(flat, f"(?=[0-9])({TIME})", f"{MARK}$1"), MARK)
+    return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), trim_blanks)
 
 
 def find_genre(c: Column) -> Column:
@@ -76,9 +81,8 @@ def find_genre(c: Column) -> Column:
 
 def clean_fragment(c: Column) -> Column:
     c = F.regexp_replace(c, "#+", " ")
-    c = trim_blanks(F.regexp_replace(c, f"{WS}{{2,}}", " "))
-    blank = WS[1:-1]
-    return trim_blanks(F.regexp_replace(F.regexp_replace(c, f"^[.,;:{blank}]+", ""), f"[,;:{blank}]+\\z", ""))
+    c = F.regexp_replace(c, f"{WS}{{2,}}", " ")
+    return F.rtrim(F.ltrim(c, F.lit(".,;:" + BLANKS)), F.lit(",;:" + BLANKS))
 
 
 def move_episode_number(title: Column, subtitle: Column) -> Column:
