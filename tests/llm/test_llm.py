@@ -148,6 +148,41 @@ def test_license_scan(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_license_inheritance_by_brute_force(spark):
+    """Random trees: a file without a licence of its own has that of the nearest directory above it with a licence file."""
+    r = random.Random(12)
+    full = license_scan.with_full_texts()
+    names = ["MIT", "BSD-3-Clause", "Apache-2.0", "MPL-2.0"]
+    dirs = {tuple(r.choice("abc") for _ in range(r.randrange(5))) for _ in range(60)}
+    held = {d: r.choice(names) for d in sorted(dirs) if r.random() < 0.3}
+    files = [("/".join([*d, "LICENSE"]), full[name][-1], name) for d, name in held.items()]
+    for k in range(250):
+        d = tuple(r.choice("abcd") for _ in range(r.randrange(6)))
+        own = r.choice(names) if k % 9 == 0 else None
+        notice = license_scan.TEMPLATES[own][0] if own else ""
+        files.append(("/".join([*d, f"f{k}"]), f"{prose(k, 40)}\n{notice}\n{prose(k + 1, 40)}" if k % 5 else notice, own))
+    df = spark.createDataFrame([(i, p, t) for i, (p, t, _) in enumerate(files)], "doc_id long, path string, text string")
+    got = {x["doc_id"]: (x["license"], x["how"]) for x in license_scan.scan(df.repartition(4)).collect()}
+    # A file that is nothing but a notice speaks for its directory as well.
+    speaking = {}
+    for x in license_scan.scan(df).where("is_license_file").select("path", "own_license", "own_score").collect():
+        speaking.setdefault(tuple(x["path"].split("/")[:-1]), []).append((-x["own_score"], x["path"], x["own_license"]))
+    assert {d: min(v)[2] for d, v in speaking.items() if d in held}.keys() == held.keys()
+    for i, (path, _, own) in enumerate(files):
+        d = tuple(path.split("/")[:-1])
+        above = next((min(speaking[d[:n]])[2] for n in range(len(d), -1, -1) if d[:n] in speaking), None)
+        assert got[i] == ((own, "own") if own else (above, "inherited") if above else (None, "none")), path
+
+
+def test_license_windows_at_every_offset(spark):
+    """A notice anywhere in one long line is found, wherever it stands between two windows."""
+    gpl, mpl = license_scan.TEMPLATES["GPL-3.0"][1], license_scan.TEMPLATES["MPL-2.0"][0]
+    rows = [(f"d{k}/x", f"{prose(k, 150 + k)} {t} {prose(k + 1, 150)}", name) for name, t in (("GPL-3.0", gpl), ("MPL-2.0", mpl)) for k in range(24)]
+    df = spark.createDataFrame([(i, f"{n}/{p}", t) for i, (p, t, n) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {x["doc_id"]: x["license"] for x in license_scan.scan(df).collect()}
+    assert got == {i: n for i, (_, _, n) in enumerate(rows)}
+
+
 def test_license_query_of_rows_without_names(spark, tmp_path):
     """A file without an id speaks for no directory; null sources and languages are directories of their own."""
     from airgrid.llm import queries

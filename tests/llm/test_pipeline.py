@@ -3,7 +3,7 @@ import random
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
-from test_llm import DOCS, brute_dedup, brute_join, brute_signals
+from test_llm import DOCS, brute_dedup, brute_join, brute_signals, brute_targets
 from test_llm import prose as numbered
 
 from airgrid.llm.common import shared_dir
@@ -86,6 +86,27 @@ def test_mixture_and_sequences(stages):
     assert sum(r["length"] for r in pieces) == sum(r["doc_tokens"] for r in pieces if r["start"] == 0)
 
 
+def test_mixture_by_brute_force(stages):
+    """Each source's words come near its target, no document is there more than three times, and rows are whole or one is cut for each shard."""
+    before, after = (df.collect() for df in stages[1]["mixture"])
+    sizes, taken, target = {}, {}, {}
+    for r in before:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(r["text"].split())
+    for r in after:
+        taken[r["source"]] = taken.get(r["source"], 0) + len(r["text"].split())
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    for name, want in zip(names, brute_targets([sizes[s] for s in names], [(5, 2, 1)[k % 3] for k in range(len(names))]), strict=True):
+        target[name] = want
+        assert abs(taken.get(name, 0) - want) <= 64, name
+    texts = {r["doc_id"]: r["text"] for r in before}
+    own = {}
+    for r in after:
+        own.setdefault(r["doc_id"], []).append(r["text"])
+    for i, parts in own.items():
+        assert sum(len(t.split()) for t in parts) <= 3 * len(texts[i].split())
+        assert all(set(t.split()) <= set(texts[i].split()) for t in parts)
+
+
 def test_run(spark, stages):
     path, out = stages
     assert sum(r["length"] for r in corpus_pipeline.run(spark, path).collect()) == sum(r["length"] for r in out["sequences"][1].collect())
