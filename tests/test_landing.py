@@ -66,3 +66,14 @@ def test_no_separator_means_lines(spark):
     columns = spark.createDataFrame([(p, 0, 10, 50) for p in ("line", "none", "odd")], "page_id string, column_index int, x int, width int")
     pages = spark.createDataFrame([("line", 900, 2, "line"), ("none", 900, 2, None), ("odd", 900, 2, "dots")], "page_id string, height int, rows int, separator string")
     assert {r["page_id"]: r["cuts"] for r in profile.detect_row_cuts(rows, columns, pages).collect()} == dict.fromkeys(("line", "none", "odd"), [302])
+
+
+def test_channel_tables_from_a_database(spark):
+    """Both tables through JDBC, from a database in this JVM's memory."""
+    url, properties = "jdbc:derby:memory:airgrid;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    channel = spark.createDataFrame([(1, "Une", "une"), (2, "Deux é", None)], "id_chaine int, nom_chaine string, url_chaine string")
+    source = spark.createDataFrame([(1, "INA", "UNE")], "id_chaine int, code_source string, nom_chaine_source string")
+    channel.write.jdbc(url, "chaine", "overwrite", properties)
+    source.write.jdbc(url, "chaine_source", "overwrite", properties)
+    got = files.read_channel_tables(spark, url, properties)
+    assert [sorted(map(tuple, df.collect())) for df in got] == [[(1, "Une", "une"), (2, "Deux é", None)], [(1, "INA", "UNE")]]
