@@ -105,16 +105,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = words_of(F.col("text"))
     damaged = F.when((F.col("h") % 10 == 0) & (F.size(words) > 0), quality_rules.let(words, repeated)).otherwise(F.col("text"))
     found = periodic_runs.detect(docs.select("doc_id", damaged.alias("text")))
-    # The longest run; of such the first in the order of the array, which is by start and period.
-    top = F.get(F.filter("runs", lambda x: x["length"] == F.array_max(F.transform("runs", lambda y: y["length"]))), F.lit(0))
+    # The longest run, of such the first by start, then by period.
+    top = F.array_max(F.transform("runs", lambda x: F.struct(x["length"].alias("length"), (-x["start"]).alias("start"), (-x["period"]).alias("period"))))
     lines = F.transform("runs", lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
     return found.withColumn("top", top).select(
         "doc_id",
         F.size("runs").cast("long").alias("n_runs"),
-        F.col("top.start").alias("start"),
+        (-F.col("top.start")).alias("start"),
         F.col("top.length").alias("length"),
-        F.col("top.period").alias("period"),
-        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        (-F.col("top.period")).alias("period"),
+        F.floor(-1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
     )

@@ -23,6 +23,8 @@ COLUMNS = {
     "op7_ngram_join": {"doc_id": "bigint", "class_id": "bigint", "n_links": "bigint"},
     "op8_html_extraction": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op9_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op12_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op13_line_dedup": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
     "op10_warc": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
 }
 
@@ -50,6 +52,14 @@ def test_rows_and_columns(got, tables, name):
     assert len({r[0] for r in rows}) == n and (name == "op5_packing" or len(rows) == n)
 
 
+def test_columns_of_conversations(spark, got):
+    kinds, rows = got["op11_conversation_repair"]
+    names = {"gaps", "blank", "duplicate", "truncated", "illegal", "cost"}
+    assert kinds == {"conv_id": "bigint", "audit": "string", "repaired_sha256": "string"} | dict.fromkeys(names, "bigint")
+    ids = [r[0] for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().collect()]
+    assert sorted(r["conv_id"] for r in rows) == sorted(ids)
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(got, name):
     con = duckdb.connect()

@@ -178,6 +178,17 @@ def test_run_query_by_brute_force(spark):
     assert sum(r[1] > 0 for r in got) >= 10
 
 
+def test_query_of_a_text_with_very_many_runs(spark, tmp_path):
+    """Twenty thousand runs in one text, many of one length: the first of the longest is given."""
+    doc_id = next(i for i in range(100) if crc(str(i)) % 10)
+    text = " ".join(f"a{k} " * (12 + (k in (7, 9))) + f"sep{k}" for k in range(20_000))
+    spark.createDataFrame([(doc_id, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    r = queries.op12_periodic_runs(spark, str(tmp_path)).collect()[0]
+    assert tuple(r)[:6] == (doc_id, 20_000, 7 * 13, 13, 1, 13_000)
+    assert r["runs_sha256"] == sha("".join(f"{13 * k + (k > 7) + (k > 9)},{12 + (k in (7, 9))},1\n" for k in range(20_000)))
+    assert r["collapsed_sha256"] == sha(" ".join(f"a{k} sep{k}" for k in range(20_000)))
+
+
 def test_runs_odd_rows(spark, tmp_path):
     damaged = [i for i in range(200) if crc(str(i)) % 10 == 0]
     rows = [(1, None, "a"), (2, "", "b"), (3, " \t\n", None), (4, "na " * 12, "c"), (4, "na na " * 12, "d"), (4, "na " * 12, "c"), (None, "x y z\v" * 5, "e"), (5, "ha" * 50_000, "f"), (6, "a b " * 300, "g")]
