@@ -1,4 +1,7 @@
-"""Page images to ink profiles. An image is reduced to about its width plus its height in numbers; pixels never become rows."""
+"""Page images to ink profiles. An image is reduced to about its width plus its height in numbers; pixels never become rows.
+
+A task holds one batch of images, which Spark keeps to spark.sql.execution.arrow.maxBytesPerBatch (64 MB) or one image.
+"""
 
 from __future__ import annotations
 
