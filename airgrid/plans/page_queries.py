@@ -12,30 +12,33 @@ from airgrid.operators import layout
 from airgrid.operators.order import numbered
 from airgrid.plans.registry import query, table
 from airgrid.sources import files, images, landing
-from airgrid.storage import shared_dir
+from airgrid.storage import shared_dir, spread
 
 # Images: hexadecimal digits of rows of pixels. Ink is AA, paper BE, on either side of the threshold.
 
 INK, PAPER = "AA", "BE"
 
-
-def times(digits: str | Column, n: Column) -> Column:
-    return F.repeat(F.lit(digits) if isinstance(digits, str) else digits, n.cast("int"))
+#: Small images to a task, large images to a task.
+PAGES, LARGE_PAGES = 20_000, 1_000
 
 
 def rows_of(height: int, row) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(height - 1)), row)
 
 
+def one_of(values: list, i: Column) -> Column:
+    return F.get(F.array(*map(F.lit, values)), i.cast("int"))
+
+
 def striped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of 50 rows for each part; the ink of row y starts at (k + 3 y) % 7 and is 1 + (k y) % 11 long."""
     k, width = F.col("p_partkey"), F.col("p_partkey") % 9 + 24
+    widest = [PAPER * start + INK * (1 + more) + PAPER * (31 - start - more) for start in range(7) for more in range(11)]
 
     def row(y: Column) -> Column:
-        start, length = (k + 3 * y) % 7, 1 + (k * y) % 11
-        return F.concat(times(PAPER, start), times(INK, length), times(PAPER, width - start - length))
+        return F.left(one_of(widest, (k + 3 * y) % 7 * 11 + (k * y) % 11), (2 * width).cast("int"))
 
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part").select("p_partkey"), PAGES)
     return part.select(k.cast("string").alias("page_id"), F.lit(50).alias("height"), width.cast("int").alias("width"), F.lit(1).alias("nChannels"), images.raster(rows_of(50, row)).alias("data"))
 
 

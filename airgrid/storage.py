@@ -38,3 +38,9 @@ def dealt(df: DataFrame) -> DataFrame:
     """A scan as its files lie; only a table so small that it has fewer splits than there are cores is dealt to all of them."""
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """The rows of a scan dealt out to all cores, about `rows` to a task: for what grows by far on its way, where few row groups would be few tasks."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(n, -(-df.count() // rows)))
