@@ -101,16 +101,18 @@ def contrast_filter(clusters: DataFrame, profile: DataFrame, columns: DataFrame,
     """
     total = profile.groupBy("page_id", "pos").agg(F.sum("ink").alias("ink"))
     w = Window.partitionBy("page_id").orderBy("pos")
-    sums = total.select("page_id", "pos", F.sum("ink").over(w).alias("upto"))
+    sums = total.select("page_id", (F.col("pos") + 1).alias("at"), F.sum("ink").over(w).alias("upto"))
     size = columns.groupBy("page_id").agg(F.sum("width").alias("area"), F.count(F.lit(1)).alias("n"))
     height = profile.groupBy("page_id").agg((F.max("pos") + 1).alias("height"))
-    c = clusters.join(size, "page_id").join(height, "page_id").where(F.col("coverage") >= F.greatest(F.lit(1), F.col("n") - 1))
+    c = clusters.join(size, "page_id").join(height.hint("shuffle_merge"), "page_id").where(F.col("coverage") >= F.greatest(F.lit(1), F.col("n") - 1))
     y = half_up(F.col("pos"))
     clip = lambda v: F.greatest(F.lit(0), F.least(F.col("height"), v))
     c = c.withColumns({"a0": clip(y + offset), "a1": clip(y + offset + window), "b0": clip(y - offset_before - window), "b1": clip(y - offset_before)})
-    for edge in ("a0", "a1", "b0", "b1"):
-        at = sums.select("page_id", (F.col("pos") + 1).alias(edge), F.col("upto").alias(f"s_{edge}"))
-        c = c.join(at, ["page_id", edge], "left").withColumn(f"s_{edge}", F.coalesce(f"s_{edge}", F.lit(0)))
+    # One join for all edges. Profiles are never broadcast, whatever size Spark guesses.
+    edges = c.select("page_id", F.explode(F.array("a0", "a1", "b0", "b1")).alias("at")).distinct()
+    known = sums.hint("shuffle_merge").join(edges, ["page_id", "at"]).groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "upto"))).alias("upto"))
+    c = c.join(known.hint("shuffle_merge"), "page_id", "left")
+    c = c.withColumns({f"s_{e}": F.coalesce(F.try_element_at("upto", F.col(e)), F.lit(0)) for e in ("a0", "a1", "b0", "b1")})
     mean = lambda a, b: F.when(F.col(b) > F.col(a), (F.col(f"s_{b}") - F.col(f"s_{a}")) / (F.col("area") * (F.col(b) - F.col(a)))).otherwise(F.lit(0.0))
     c = c.withColumn("after", mean("a0", "a1")).withColumn("before", mean("b0", "b1"))
     return c.where((F.col("after") >= density) & (F.col("after") - F.col("before") >= contrast)).select("page_id", "pos", "coverage", "after", "before")
@@ -156,7 +158,9 @@ def line_candidates(rows: DataFrame, columns: DataFrame, pages: DataFrame, top:
     """(page_id, column_index, pos) of the middles of printed lines: runs of rows between the margins with ink over ratio of their column's width."""
     height = F.col("height")
     inside = (F.col("pos") >= half_up(height * top)) & (F.col("pos") < height - half_up(height * bottom))
-    known = rows.join(columns.select("page_id", "column_index", "width"), ["page_id", "column_index"]).join(pages.select("page_id", "height"), "page_id")
+    widths = columns.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("column_index", "width"))).alias("widths"))
+    own = widths.hint("shuffle_merge").join(pages.select("page_id", "height"), "page_id")
+    known = rows.hint("shuffle_merge").join(own, "page_id").withColumn("width", F.try_element_at("widths", F.col("column_index"))).drop("widths")
     return middles(threshold_runs(known, inside & (F.col("ink") >= ratio * F.col("width")), min_height, max_height))
 
 
@@ -183,7 +187,8 @@ def detect_row_cuts(rows: DataFrame, columns: DataFrame, pages: DataFrame, top:
     """
     kind = F.when(F.col("separator").isin("whitespace", "even"), F.col("separator")).otherwise(F.lit("line"))
     by = lambda separator: pages.where(kind == separator).select("page_id")
-    of = lambda df, separator: df.join(by(separator), "page_id", "left_semi")
+    # Spark takes profiles for small tables if they come from one; they are shuffled, never broadcast.
+    of = lambda df, separator: df.hint("shuffle_merge").join(by(separator), "page_id", "left_semi")
     lines = cluster_by_position(line_candidates(of(rows, "line"), columns, pages, top, bottom))
     lines = contrast_filter(lines, of(rows, "line"), of(columns, "line"), offset_before=3).select("page_id", half_up(F.col("pos")).alias("pos"))
     wanted = pages.join(columns.groupBy("page_id").agg(F.count(F.lit(1)).alias("columns")), "page_id").select("page_id", "columns", "rows")

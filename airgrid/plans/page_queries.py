@@ -96,7 +96,6 @@ def gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, shift = k % 4, k % 5
     marks = [180 + (k * 7) % 40, 400 + (k * 11) % 40, 520 + k % 3]
     pattern = lambda test: ["".join(INK if test(i, j) else PAPER for i in range(WIDE)) for j in range(3)]
-    pick = lambda digits, j: F.get(F.array(*map(F.lit, digits)), j.cast("int"))
     sparse, dark = pattern(lambda i, j: (i + j) % 3 == 0), pattern(lambda i, j: (i + j) % 3 < 2)
     full, band, blank = (F.lit("".join(INK if test(i) else PAPER for i in range(WIDE))) for test in (lambda i: True, lambda i: i % 5 < 3, lambda i: False))
 
@@ -106,16 +105,17 @@ def gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
         thick = 3 + k % 3
         line = F.when(within(at[0], thick) | within(at[1], thick) | within(at[2], thick), full)
         line = line.when(within(at[0] + thick, BAND) | within(at[1] + thick, BAND), band)
-        line = line.when(y % 4 == 0, pick(sparse, F.floor(y / 4) % 3)).otherwise(blank)
+        line = line.when(y % 4 == 0, one_of(sparse, F.floor(y / 4) % 3)).otherwise(blank)
         high = 10 + k % 5
-        runs = F.when((kind == 1) & (within(at[0], high) | within(at[1], high)), blank).otherwise(pick(dark, F.floor(y / 2) % 3))
+        runs = F.when((kind == 1) & (within(at[0], high) | within(at[1], high)), blank).otherwise(one_of(dark, F.floor(y / 2) % 3))
         return F.when(kind.isin(0, 3), line).otherwise(runs)
 
     gutter = F.lit(PAPER * 10)
     data = images.raster(rows_of(HEIGHT, lambda y: F.concat(gutter, column(y, 0), gutter, column(y, 1), gutter)))
     separator = F.when(kind == 0, "line").when(kind == 1, "whitespace").when(kind == 2, "even")
     rows = (3 + F.floor(k / 4) % 2).cast("int")
-    return table(spark, sf_dir, "supplier").select(k.cast("string").alias("page_id"), F.lit(HEIGHT).alias("height"), F.lit(3 * 10 + 2 * WIDE).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"), rows.alias("rows"), separator.alias("separator"))
+    supplier = spread(table(spark, sf_dir, "supplier").select("s_suppkey"), LARGE_PAGES)
+    return supplier.select(k.cast("string").alias("page_id"), F.lit(HEIGHT).alias("height"), F.lit(3 * 10 + 2 * WIDE).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"), rows.alias("rows"), separator.alias("separator"))
 
 
 @query(f"""
