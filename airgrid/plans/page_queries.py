@@ -72,17 +72,17 @@ def ink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def banner_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of coloured pixels in the band at the top, of pages of one, three and four channels; a fifth of the pixels is dark blue, which is no colour."""
     k, width = F.col("p_partkey"), (F.col("p_partkey") % 7 + 20).cast("int")
-    channels = F.get(F.array(F.lit(1), F.lit(3), F.lit(4)), (k % 3).cast("int"))
+    channels = one_of([1, 3, 4], k % 3)
 
-    def row(y: Column) -> Column:
-        def pixel(x: Column) -> Column:
-            colour = F.when((x + k) % 5 == 0, F.lit("5A0A0AFF")).when((3 * x + y + k) % 4 == 0, F.lit("2030C8FF")).otherwise(F.lit("808080FF"))
-            return F.left(colour, 2 * channels)
-
-        return F.array_join(F.transform(F.sequence(F.lit(0), width - 1), pixel), "")
+    def pixel(x: int, y: int, k: int) -> str:
+        return "5A0A0AFF" if (x + k) % 5 == 0 else "2030C8FF" if (3 * x + y + k) % 4 == 0 else "808080FF"
 
-    pages = table(spark, sf_dir, "part").select(k.cast("string").alias("page_id"), F.lit(50).alias("height"), width.alias("width"), channels.alias("nChannels"), images.raster(rows_of(50, row)).alias("data"))
-    return images.banner_color_ratio(pages).join(pages.select("page_id", F.col("nChannels").alias("channels")), "page_id").select("page_id", "channels", F.round("colored_ratio", 9).alias("colored_ratio"))
+    # Rows of each number of channels repeat with k from 20 on, and with y from 4 on.
+    widest = ["".join(pixel(x, y, k)[: 2 * n] for x in range(26)) for n in (1, 3, 4) for k in range(20) for y in range(4)]
+    part = spread(table(spark, sf_dir, "part").select("p_partkey"), PAGES)
+    row = lambda y: F.left(one_of(widest, (k % 3 * 20 + k % 20) * 4 + y % 4), 2 * channels * width)
+    pages = part.select(k.cast("string").alias("page_id"), F.lit(50).alias("height"), width.alias("width"), channels.alias("nChannels"), images.raster(rows_of(50, row)).alias("data"))
+    return images.banner_color_ratio(pages, ("nChannels",)).select("page_id", F.col("nChannels").alias("channels"), F.round("colored_ratio", 9).alias("colored_ratio"))
 
 
 # Pages of two columns of 30 pixels by 600 rows. By the remainder of their number they have printed lines, blank runs,
