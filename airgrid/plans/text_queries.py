@@ -23,7 +23,9 @@ def event_blocks(events: DataFrame) -> DataFrame:
 @query("""
     SELECT CAST(ts AS DATE) AS page_date, CAST(user_id AS INT) AS page_number,
            CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts, event_id) - 1 AS INT) AS entry_pos,
-           strftime(ts, '%H:%M') AS start_time, 'Titre ' || event_type AS title, 'suite ' || event_id || ' fin' AS subtitle, '' AS genre, 'canal-bleu' AS slug
+           strftime(ts, '%H:%M') AS start_time, 'Titre ' || event_type AS title,
+           -- Whole numbers of 6 to 9 digits are recorder codes, which cleaning takes out.
+           regexp_replace(regexp_replace('suite ' || event_id || ' fin', '\\b[0-9]{6,9}\\b', ''), ' {2,}', ' ') AS subtitle, '' AS genre, 'canal-bleu' AS slug
     FROM events""")
 def entries_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     programmes = entries.programmes_of_blocks(event_blocks(table(spark, sf_dir, "events")))
