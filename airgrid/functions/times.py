@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def normalize_time(c: Column) -> Column:
     """HH:MM:SS from up to three parts, each the whole number it starts with; missing parts are 0, odd ones give null. No range check."""
-    parts = F.split(c, ":")
-    out = []
-    for i in range(3):
-        n = F.nullif(F.regexp_extract(F.coalesce(F.get(parts, i), F.lit("0")), r"^\s*([+-]?[0-9]+)", 1), F.lit(""))
-        n = n.cast("int").cast("string")
-        out.append(F.when(F.length(n) < 2, F.lpad(n, 2, "0")).otherwise(n))
-    return F.concat(out[0], F.lit(":"), out[1], F.lit(":"), out[2])
+    three = once(F.split(c, ":"), lambda parts: F.array(*(F.coalesce(F.get(parts, i), F.lit("0")) for i in range(3))))
+    whole = F.transform(three, lambda p: F.regexp_extract(p, r"^\s*([+-]?[0-9]+)", 1).try_cast("int").cast("string"))
+    padded = F.transform(whole, lambda n: F.when(F.length(n) < 2, F.lpad(n, 2, "0")).otherwise(n))
+    return once(padded, lambda t: F.concat(F.get(t, 0), F.lit(":"), F.get(t, 1), F.lit(":"), F.get(t, 2)))
+
+
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of c, which is evaluated once for all its uses: Spark repeats it in generators and in the branches of a case."""
+    return F.get(F.transform(F.array(c), f), 0)
 
 
 def seconds_of(c: Column) -> Column:
-    parts = F.split(c, ":")
-    return F.get(parts, 0).cast("int") * 3600 + F.get(parts, 1).cast("int") * 60 + F.get(parts, 2).cast("int")
+    return once(F.split(c, ":"), lambda parts: F.get(parts, 0).cast("int") * 3600 + F.get(parts, 1).cast("int") * 60 + F.get(parts, 2).cast("int"))
 
 
 def add_duration(start: Column, duration: Column) -> Column:
     """Hours go round at 24; the empty string without a duration."""
-    total = seconds_of(start) + seconds_of(duration)
-    end = F.format_string("%02d:%02d:%02d", (F.floor(total / 3600) % 24).cast("int"), (F.floor(total / 60) % 60).cast("int"), (total % 60).cast("int"))
-    return F.when(duration.isNull(), F.lit("")).otherwise(end)
+
+    def clock(total: Column) -> Column:
+        return F.format_string("%02d:%02d:%02d", (F.floor(total / 3600) % 24).cast("int"), (F.floor(total / 60) % 60).cast("int"), (total % 60).cast("int"))
+
+    return F.when(duration.isNull(), F.lit("")).otherwise(once(seconds_of(start) + seconds_of(duration), clock))
 
 
 def format_fr_date(c: Column) -> Column:
