@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +92,7 @@ def grid_mismatch(cells: DataFrame) -> DataFrame:
     return cells.select("page_id", expected.cast("int").alias("expected_rows"), F.when(bad, message).alias("message"))
 
 
-def place_blocks(spans: list[int], columns: int, rows: int) -> list[tuple[int, int, int] | None]:
+def place_blocks(spans: Sequence[int], columns: int, rows: int) -> list[tuple[int, int, int] | None]:
     """(column, row, rows taken) of each block: row by row into the first free place, spans downwards, cut at the last row."""
     taken = [[False] * columns for _ in range(rows)]
     free = ((r, c) for r in range(rows) for c in range(columns))
@@ -118,18 +119,20 @@ def assign_bounds(layout: DataFrame, columns: DataFrame, bands: DataFrame) -> Da
     b = bands.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("row", "y", "height"))).alias("bs"))
     blocks = layout.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("block_pos", F.coalesce("row_span", F.lit(1)).alias("row_span")))).alias("blocks"))
     pages = blocks.join(c, "page_id").join(b, "page_id")
+    # Plain arrays of numbers: structs would be dictionaries in Python.
+    flat = pages.select("page_id", "blocks.block_pos", "blocks.row_span", "cs.x", "cs.width", "bs.y", "bs.height")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        placed = lru_cache(100_000)(place_blocks)
         for batch in batches:
-            out = []
-            for page, own, cs, bs in zip(batch["page_id"], batch["blocks"], batch["cs"], batch["bs"], strict=True):
-                for block, place in zip(own, place_blocks([x["row_span"] for x in own], len(cs), len(bs)), strict=True):
-                    if place is None:
-                        out.append((page, block["block_pos"], None, None, None, None))
-                    else:
-                        k, r, n = place
-                        out.append((page, block["block_pos"], cs[k]["x"], bs[r]["y"], cs[k]["width"], sum(bs[r + j]["height"] for j in range(n))))
-            yield pd.DataFrame(out, columns=["page_id", "block_pos", "x", "y", "width", "height"]).astype({k: "Int64" for k in ("block_pos", "x", "y", "width", "height")})
-
+            at, bounds = [], []
+            for i, (spans, x, width, y, height) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("row_span", "x", "width", "y", "height")), strict=True)):
+                for place in placed(tuple(spans), len(x), len(y)):
+                    at.append(i)
+                    bounds.append((None,) * 4 if place is None else (x[place[0]], y[place[1]], width[place[0]], sum(height[place[1] : place[1] + place[2]])))
+            columns = [pa.array(v, pa.int32()) for v in zip(*bounds, strict=True)] if bounds else [pa.array([], pa.int32())] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array(at, pa.int64())), batch.column("block_pos").flatten().cast(pa.int32()), *columns], names)
+
+    names = ["page_id", "block_pos", "x", "y", "width", "height"]
     kind = layout.schema["page_id"].dataType.simpleString()
-    return pages.mapInPandas(run, f"page_id {kind}, block_pos int, x int, y int, width int, height int")
+    return flat.mapInArrow(run, f"page_id {kind}, block_pos int, x int, y int, width int, height int")
