@@ -97,18 +97,31 @@ def move_episode_number(title: Column, subtitle: Column) -> Column:
 def cut_garbled_tail(text: Column, anchors: Column) -> Column:
     """struct<clean, tail>: cut at the first place where an anchor stands as a word of its own.
 
-    The pattern differs from row to row, so it is only built where there are anchors.
+    Blanks all become spaces, so anchors are looked up as they are, with a space before and each stop behind. A pattern,
+    which would be another one for each row, is only built for an anchor that holds blanks itself.
     """
 
-    def place(a: Column) -> Column:
+    def place(text: Column, flat: Column, a: Column) -> Column:
+        ends = [F.call_function("instr", flat, F.concat(F.lit(" "), a, F.lit(stop))) for stop in " .,;:!?"]
         literal = F.replace(a, F.lit(r"\E"), F.lit(r"\E\\E\Q"))
-        return F.regexp_instr(text, F.concat(F.lit(f"(?<!{WS.replace('[', '[^', 1)})\\Q"), literal, F.lit(f"\\E(?={WS}|\\z|[.,;:!?])")))
-
-    at = F.array_min(F.filter(F.transform(F.filter(anchors, lambda a: a != ""), place), lambda i: i > 0))
-    at = F.when(F.size(anchors) > 0, at)
-    whole = F.struct(text.alias("clean"), F.lit("").alias("tail"))
-    parts = F.struct(trim_blanks(F.substring(text, F.lit(1), at - 1)).alias("clean"), trim_blanks(F.substring(text, at, F.length(text))).alias("tail"))
-    return F.when(at.isNull(), whole).otherwise(parts)
+        pattern = F.concat(F.lit(f"(?<!{WS.replace('[', '[^', 1)})\\Q"), literal, F.lit(f"\\E(?={WS}|\\z|[.,;:!?])"))
+        return F.when(F.translate(a, BLANKS, "") == a, F.array_min(F.filter(F.array(*ends), lambda i: i > 0))).otherwise(F.regexp_instr(text, pattern))
+
+    def parts(row: Column) -> Column:
+        text, at = row["text"], row["at"]
+        whole = F.struct(text.alias("clean"), F.lit("").alias("tail"))
+        two = F.struct(trim_blanks(F.substring(text, F.lit(1), at - 1)).alias("clean"), trim_blanks(F.substring(text, at, F.length(text))).alias("tail"))
+        return F.when(at.isNull(), whole).otherwise(two)
+
+    # One-element arrays hold what is used more than once.
+    def cut(row: Column) -> Column:
+        text, flat = row["text"], row["flat"]
+        places = F.transform(F.filter(row["anchors"], lambda a: a != ""), lambda a: place(text, flat, a))
+        at = F.when(F.size(row["anchors"]) > 0, F.array_min(F.filter(places, lambda i: i > 0)))
+        return F.get(F.transform(F.array(F.struct(text.alias("text"), at.alias("at"))), parts), 0)
+
+    flat = F.when(F.size(anchors) > 0, F.concat(F.lit(" "), F.translate(text, BLANKS, " " * len(BLANKS)), F.lit(" ")))
+    return F.get(F.transform(F.array(F.struct(text.alias("text"), anchors.alias("anchors"), flat.alias("flat"))), cut), 0)
 
 
 def _near(word: Column, day: str) -> Column:
