@@ -5,6 +5,8 @@ Word boundaries are those of ASCII words and blanks are those of the Unicode lis
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -129,7 +131,10 @@ def _near(word: Column, day: str) -> Column:
 
 
 def _has_day(words: Column, letters: Column, day: str) -> Column:
-    """Is the day one of the words, or a part of all the letters, but for a misread letter or two?"""
+    """Is the day one of the words, or a part of all the letters, but for a misread letter or two?
+
+    As many misread letters as allowed leave one of the day's parts whole, so only letters that hold one are compared.
+    """
     most = 1 if len(day) <= 5 else 2
 
     def part(size: int) -> Column:
@@ -137,17 +142,35 @@ def _has_day(words: Column, letters: Column, day: str) -> Column:
         return F.exists(offsets, lambda i: _near(F.substring(letters, i, F.lit(size)), day))
 
     in_words = F.exists(words, lambda w: (F.abs(F.length(w) - len(day)) <= most) & _near(w, day))
-    return in_words | part(len(day) - 1) | part(len(day)) | part(len(day) + 1)
+    held = reduce(Column.__or__, (F.contains(letters, F.lit(p)) for p in DAY_PARTS[day]))
+    return held & (in_words | part(len(day) - 1) | part(len(day)) | part(len(day) + 1))
 
 
 def match_weekday(text: Column) -> Column:
     """The one weekday that a banner names, misread letters allowed; null for none or several."""
-    lower = F.lower(text)
-    words = F.filter(F.split(F.regexp_replace(lower, r"[^\p{L}]+", " "), " "), lambda w: F.length(w) >= 4)
-    letters = F.regexp_replace(lower, r"[^\p{L}]+", "")
-    days = F.array_compact(F.array(*[F.when(_has_day(words, letters, day), F.lit(day)) for day in WEEKDAYS]))
-    return F.when(F.size(days) == 1, F.get(days, 0))
-
 
+    # One-element arrays hold what is used more than once.
+    def named(read: Column) -> Column:
+        days = F.array_compact(F.array(*[F.when(_has_day(read["words"], read["letters"], day), F.lit(day)) for day in WEEKDAYS]))
+        return F.get(F.transform(F.array(days), lambda d: F.when(F.size(d) == 1, F.get(d, 0))), 0)
+
+    def read(runs: Column) -> Column:
+        words = F.filter(F.split(runs, " "), lambda w: F.length(w) >= 4)
+        return F.struct(words.alias("words"), F.replace(runs, F.lit(" "), F.lit("")).alias("letters"))
+
+    runs = F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
+    return F.get(F.transform(F.transform(F.array(runs), read), named), 0)
+
+
+#: Fixed value: each day in one part more than it may have misread letters.
+DAY_PARTS = {
+    "samedi": ("sa", "me", "di"),
+    "dimanche": ("dim", "anc", "he"),
+    "lundi": ("lu", "ndi"),
+    "mardi": ("ma", "rdi"),
+    "mercredi": ("mer", "cr", "edi"),
+    "jeudi": ("je", "udi"),
+    "vendredi": ("ven", "dr", "edi"),
+}
 #: Fixed value: the week as the index counts it.
 WEEKDAYS = ["samedi", "dimanche", "lundi", "mardi", "mercredi", "jeudi", "vendredi"]
